@@ -65,24 +65,18 @@ TICKER_RULES = (
 )
 
 
-def _errors(rules, fields: Mapping[str, Column]) -> Column:
-    return F.array_compact(F.array(*(rule(name, fields[name]) for name, rule in rules)))
+def error_text(rules, fields: Mapping[str, Column]) -> Column:
+    """All violated rules joined by ``; ``, at most one per field; empty when none is.
 
+    Joining text, unlike filtering an array with a lambda, stays inside generated code.
+    """
+    return F.concat_ws("; ", *(rule(name, fields[name]) for name, rule in rules))
 
-def trade_errors(fields: Mapping[str, Column]) -> Column:
-    """All violated trade rules as an array of texts, at most one per field."""
-    return _errors(TRADE_RULES, fields)
 
-
-def kline_errors(fields: Mapping[str, Column]) -> Column:
-    return _errors(KLINE_RULES, fields)
-
-
-def ticker_errors(fields: Mapping[str, Column]) -> Column:
-    return _errors(TICKER_RULES, fields)
+def error_list(text: Column) -> Column:
+    """Joined error text as an array, empty when there is no error."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "; "))
 
 
 def unsupported_type(event_type: Column) -> Column:
-    return F.array(
-        F.concat(F.lit("unsupported event_type: "), F.coalesce(event_type, F.lit("None")))
-    )
+    return F.concat(F.lit("unsupported event_type: "), F.coalesce(event_type, F.lit("None")))

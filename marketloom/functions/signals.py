@@ -54,6 +54,12 @@ def spike_strength(ratio: Column) -> Column:
     )
 
 
+def _finite(value: Column) -> Column:
+    """As double, with NaN turned into null so that it satisfies no threshold."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number), number)
+
+
 def _bonus(level: Column, weights: dict[str, float]) -> Column:
     value = F.lit(0.0)
     for name, weight in weights.items():
@@ -65,16 +71,16 @@ def attention_score(
     change_pct: Column, ratio: Column, strength: Column, volatility: Column
 ) -> Column:
     """Weighted size of move and volume ratio plus bonuses, three digits, half to even."""
-    move = F.coalesce(F.abs(change_pct.cast("double")), F.lit(0.0))
-    volume = F.coalesce(ratio.cast("double"), F.lit(0.0))
+    move = F.coalesce(F.abs(_finite(change_pct)), F.lit(0.0))
+    volume = F.coalesce(_finite(ratio), F.lit(0.0))
     bonus = _bonus(strength, SIGNAL_BONUS), _bonus(volatility, VOLATILITY_BONUS)
     return F.bround(move * F.lit(MOVE_WEIGHT) + volume + bonus[0] + bonus[1], 3)
 
 
 def market_direction(change_pct: Column) -> Column:
-    change = change_pct.cast("double")
+    change = _finite(change_pct)
     return (
-        F.when(change.isNull() | F.isnan(change) | (F.abs(change) < F.lit(FLAT_MOVE_PCT)), "FLAT")
+        F.when(change.isNull() | (F.abs(change) < F.lit(FLAT_MOVE_PCT)), "FLAT")
         .when(change > 0, "UP")
         .otherwise("DOWN")
     )
@@ -84,8 +90,8 @@ def attention_reason(
     change_pct: Column, ratio: Column, strength: Column, volatility: Column
 ) -> Column:
     """The first reason that applies, strongest first."""
-    change = F.abs(change_pct.cast("double"))
-    volume = ratio.cast("double")
+    change = F.abs(_finite(change_pct))
+    volume = _finite(ratio)
     return (
         F.when((strength == "HIGH") | (volume >= F.lit(HIGH_VOLUME_RATIO)), "Volume spike")
         .when(change >= F.lit(HIGH_MOVE_PCT), "Sharp price move")

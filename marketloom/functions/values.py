@@ -63,7 +63,8 @@ def is_instant_text(text: Column) -> Column:
 
 
 def _fraction_digits(text: Column) -> Column:
-    return F.length(F.regexp_extract(text, r"\.([0-9]*)", 1))
+    point = F.instr(text, ".")
+    return F.when(point == 0, 0).otherwise(F.length(text) - point)
 
 
 def product_text(left: Column, right: Column) -> Column:
