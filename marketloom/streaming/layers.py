@@ -219,7 +219,13 @@ def start_spikes(spark: SparkSession, settings: Settings) -> list[StreamingQuery
 
 
 def bootstrap_gold(spark: SparkSession, settings: Settings) -> None:
-    """Create the tables that other streams of this layer read, unless they exist."""
+    """Create the tables that other streams of this layer read, unless they exist.
+
+    A file sink creates its log when its query starts, before the readers below it do, and
+    readers then trust that log alone; only a transactional table has to exist beforehand.
+    """
+    if settings.table_format != "delta":
+        return
     for table in (config.GOLD_WINDOW_MEASURES, config.GOLD_SUMMARY):
         ensure_table(
             spark,
