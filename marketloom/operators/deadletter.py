@@ -33,6 +33,24 @@ def infer_symbol(raw: Column) -> Column:
     return F.upper(F.try_variant_get(payload, "$.s", "string"))
 
 
+def _letter_columns(feed: Feed, error_time: Column | None) -> list[Column]:
+    stamp = F.current_timestamp() if error_time is None else error_time
+    return [
+        F.lit(feed.schema_version).alias("schema_version"),
+        F.col("source_topic"),
+        F.col("error_type"),
+        F.col("error_message"),
+        F.col("raw_payload"),
+        iso_millis(stamp).alias("error_time"),
+        F.when(F.col("symbol") != "", F.col("symbol")).alias("symbol"),
+    ]
+
+
+def _letter_key() -> Column:
+    known = F.col("source_topic") != UNKNOWN_TOPIC
+    return F.when(known, F.col("source_topic")).otherwise(F.col("error_type"))
+
+
 def dead_letter_records(
     failures: DataFrame,
     feed: Feed = Feed(),
@@ -45,22 +63,11 @@ def dead_letter_records(
     Needs ``raw_payload, source_topic, error_type, error_message, symbol``. The JSON leaves
     out a missing symbol, since null fields are not written.
     """
-    stamp = iso_millis(F.current_timestamp() if error_time is None else error_time)
-    known = F.col("source_topic") != UNKNOWN_TOPIC
-    event = failures.select(
-        *keep,
-        F.lit(feed.schema_version).alias("schema_version"),
-        "source_topic",
-        "error_type",
-        "error_message",
-        "raw_payload",
-        stamp.alias("error_time"),
-        F.when(F.col("symbol") != "", F.col("symbol")).alias("symbol"),
-    )
+    event = failures.select(*keep, *_letter_columns(feed, error_time))
     return event.select(
         *keep,
         F.lit(feed.invalid_topic).alias("topic"),
-        F.when(known, F.col("source_topic")).otherwise(F.col("error_type")).alias("key"),
+        _letter_key().alias("key"),
         F.to_json(F.struct(*schemas.INVALID_EVENT.names)).alias("value"),
         headers(feed, F.lit("invalid"), F.col("error_type")).alias("headers"),
         *schemas.INVALID_EVENT.names,
@@ -68,29 +75,21 @@ def dead_letter_records(
 
 
 def route(
-    normalized: DataFrame, feed: Feed = Feed(), *, error_time: Column | None = None
+    normalized: DataFrame,
+    feed: Feed = Feed(),
+    *,
+    error_time: Column | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """All messages as bus records in one pass: valid ones to their topic, the rest to the
     dead-letter topic. One output instead of two filtered copies, so input is read once."""
-    stamp = iso_millis(F.current_timestamp() if error_time is None else error_time)
     failed = F.col("error_type").isNotNull()
-    known = F.col("source_topic") != UNKNOWN_TOPIC
-    letter = F.to_json(
-        F.struct(
-            F.lit(feed.schema_version).alias("schema_version"),
-            "source_topic",
-            "error_type",
-            "error_message",
-            "raw_payload",
-            stamp.alias("error_time"),
-            F.when(F.col("symbol") != "", F.col("symbol")).alias("symbol"),
-        )
-    )
-    letter_key = F.when(known, F.col("source_topic")).otherwise(F.col("error_type"))
+    letter = F.to_json(F.struct(*_letter_columns(feed, error_time)))
     letter_headers = headers(feed, F.lit("invalid"), F.col("error_type"))
     return normalized.select(
+        *keep,
         F.when(failed, feed.invalid_topic).otherwise(F.col("topic")).alias("topic"),
-        F.when(failed, letter_key).otherwise(F.col("key")).alias("key"),
+        F.when(failed, _letter_key()).otherwise(F.col("key")).alias("key"),
         F.when(failed, letter).otherwise(F.col("value")).alias("value"),
         F.when(failed, letter_headers).otherwise(F.col("headers")).alias("headers"),
     )
