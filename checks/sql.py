@@ -48,7 +48,10 @@ def measures(width: str, source: str = "trades", name: str = "m") -> str:
 
 
 def spikes(lookback: str, source: str = "m", name: str = "sp") -> str:
-    """CTE with the spikes: the range join itself, ratio in exact integers."""
+    """CTE with the spikes: the range join itself, ratio in exact integers.
+
+    The baseline is rounded half up to 22 digits and the ratio to 6, as decimals are.
+    """
     return f"""
 {name}_raw AS (
   SELECT c.symbol, c.ws, c.we, c.volume, c.n, sum(h.volume) AS hsum, count(h.volume) AS hn
@@ -56,13 +59,28 @@ def spikes(lookback: str, source: str = "m", name: str = "sp") -> str:
     ON c.symbol = h.symbol AND h.we < c.ws AND h.we >= c.ws - INTERVAL '{lookback}'
   GROUP BY ALL
 ),
-{name}_rated AS (
-  SELECT *, (2 * CAST(volume AS HUGEINT) * hn * 1000000 + hsum) // (2 * hsum) / 1000000.0 AS ratio
+{name}_based AS (
+  SELECT *, (2 * CAST(hsum AS HUGEINT) * 10000000000000000000000 + hn) // (2 * CAST(hn AS HUGEINT)) AS b
   FROM {name}_raw WHERE hsum > 0
 ),
+{name}_rated AS (
+  SELECT *, (2 * CAST(volume AS HUGEINT) * 10000000000000000000000 * 1000000 + b) // (2 * b) / 1000000.0 AS ratio
+  FROM {name}_based
+),
 {name} AS (SELECT *, {STRENGTH} AS strength FROM {name}_rated)"""
 
 
+def two_digits(number: str) -> str:
+    """Text of a number of at most six digits, rounded half to even to two, with separators."""
+    micro = f"abs(CAST(round({number} * 1000000) AS BIGINT))"
+    cents = (
+        f"({micro} // 10000 + CASE WHEN {micro} % 10000 > 5000 OR "
+        f"({micro} % 10000 = 5000 AND ({micro} // 10000) % 2 = 1) THEN 1 ELSE 0 END)"
+    )
+    sign = f"CASE WHEN {number} < 0 THEN '-' ELSE '' END"
+    return f"{sign} || format('{{:,}}', {cents} // 100) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0')"
+
+
 # Gold layer at the deployed widths.
 GOLD = TRADES + "," + measures("5 minutes") + "," + spikes("30 minutes")
 

@@ -4,13 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 from marketloom import config
 
+_TYPES: dict[str, DataType] = {
+    "STRING": StringType(),
+    "BINARY": BinaryType(),
+    "BOOLEAN": BooleanType(),
+    "INT": IntegerType(),
+    "BIGINT": LongType(),
+    "DOUBLE": DoubleType(),
+    "DECIMAL(38,18)": DecimalType(38, 18),
+    "DECIMAL(38,22)": DecimalType(38, 22),
+    "DECIMAL(38,6)": DecimalType(38, 6),
+    "DATE": DateType(),
+    "TIMESTAMP": TimestampType(),
+}
+
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(columns: str) -> StructType:
+    """Schema from ``name TYPE, ...``; unlike Spark's own reader it needs no session."""
+    schema = StructType()
+    for column in columns.split(", "):
+        name, type_name = column.split(" ")
+        schema.add(name, _TYPES[type_name])
+    return schema
 
 
 # Shape of a bus source; any file source with these columns can stand in for it.
