@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,9 +69,12 @@ def price_move_alerts(
     )
 
 
-def alert_messages(events: DataFrame) -> DataFrame:
-    """Bus key and JSON value of alert events."""
+def alert_messages(
+    events: DataFrame, keep: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Bus key and JSON value of alert events; ``keep`` adds further columns by name."""
     return events.select(
         F.col("symbol").cast("string").alias("key"),
         F.to_json(F.struct(*schemas.ALERT_EVENT.names)).alias("value"),
+        *(column.alias(name) for name, column in (keep or {}).items()),
     )
