@@ -73,7 +73,8 @@ def all_layers(spark: SparkSession, sf_dir: str) -> Settings:
 
 def _gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     settings = all_layers(spark, sf_dir)
-    return tables.read_table_or_empty(spark, settings.gold(table), schemas.TABLE_SCHEMAS[table])
+    schema = schemas.TABLE_SCHEMAS[table]
+    return tables.read_table_or_empty(spark, settings.gold(table), schema).select(*schema.names)
 
 
 # --- bus sources and raw sink ------------------------------------------------------------

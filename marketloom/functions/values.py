@@ -9,7 +9,11 @@ MONEY = "decimal(38,18)"
 
 # Number syntax accepted on the wire.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-NON_FINITE_PATTERN = r"(?i)^\s*[+-]?(inf|infinity|s?nan[0-9]*)\s*$"
+# The same, plus the names of infinity and not-a-number in any case.
+DECIMAL_PATTERN = (
+    r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    r"|(?i:inf|infinity|s?nan[0-9]*))\s*$"
+)
 INSTANT_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?"
     r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
@@ -52,11 +56,6 @@ def is_number(text: Column) -> Column:
     return text.rlike(NUMBER_PATTERN)
 
 
-def is_decimal_text(text: Column) -> Column:
-    """Accepts what an arbitrary-precision decimal parser accepts, non-finite values too."""
-    return text.rlike(NUMBER_PATTERN) | text.rlike(NON_FINITE_PATTERN)
-
-
 def is_instant_text(text: Column) -> Column:
     """ISO date and time with a zone."""
     return text.rlike(INSTANT_PATTERN) & F.try_to_timestamp(F.replace(text, F.lit(","), F.lit("."))).isNotNull()

@@ -14,9 +14,9 @@ from marketloom import schemas
 from marketloom.config import Feed
 from marketloom.functions import rules
 from marketloom.functions.values import (
+    DECIMAL_PATTERN,
     FIRST_MILLI,
     LAST_MILLI,
-    is_decimal_text,
     iso_from_millis,
     iso_millis,
     product_text,
@@ -92,28 +92,32 @@ def _vendor_struct(fields) -> str:
     return f"struct<{','.join(f'{key}:{VARIANT_TYPES[kind]}' for key, _, kind in fields)}>"
 
 
-def _first_bad_path(payload: Column, fields, prefix: str) -> Column:
+def _bad_when(column: str, path: str, kind: str) -> str:
+    """SQL condition under which an extracted column is missing or unreadable."""
+    node = f"try_variant_get(_payload, '{path}', 'variant')"
+    if kind == "decimal":
+        return f"{column} IS NULL OR NOT {column} RLIKE r'{DECIMAL_PATTERN}'"
+    if kind == "millis":
+        return f"{column} IS NULL OR {column} NOT BETWEEN {FIRST_MILLI} AND {LAST_MILLI}"
+    if kind == "boolean":
+        return f"{column} IS NULL OR schema_of_variant({node}) <> 'BOOLEAN'"
+    if kind == "text":
+        # A JSON null becomes blank text, which validation reports as missing.
+        return f"{column} IS NULL AND {node} IS NULL"
+    return f"{column} IS NULL"
+
+
+def _first_bad_path(fields, prefix: str, parent: str = "$") -> Column:
     """Path and kind of the first field that is missing or unreadable, else null.
 
     Fields are read as columns named ``<prefix>_<name>``.
     """
-    checks = []
-    for key, name, kind in fields:
-        path = f"$.k.{key}" if prefix == "bar" else f"$.{key}"
-        value = F.col(f"{prefix}_{name}")
-        bad = value.isNull()
-        if kind == "decimal":
-            bad = bad | ~is_decimal_text(value)
-        elif kind == "millis":
-            bad = bad | ~value.between(FIRST_MILLI, LAST_MILLI)
-        elif kind == "boolean":
-            node = F.try_variant_get(payload, path, "variant")
-            bad = bad | (F.schema_of_variant(node) != "BOOLEAN")
-        elif kind == "text":
-            # A JSON null becomes blank text, which validation reports as missing.
-            bad = bad & F.try_variant_get(payload, path, "variant").isNull()
-        checks.append(F.when(bad, f"{path} {kind}"))
-    return F.coalesce(*checks)
+    checks = (
+        f"CASE WHEN {_bad_when(f'{prefix}_{name}', f'{parent}.{key}', kind)} "
+        f"THEN '{parent}.{key} {kind}' END"
+        for key, name, kind in fields
+    )
+    return F.expr(f"coalesce({', '.join(checks)})")
 
 
 def _routing_message(payload: Column, bad: Column) -> Column:
@@ -207,6 +211,11 @@ def _columns(prefix: str, fields) -> dict[str, Column]:
     return columns
 
 
+def _open_rules(checks):
+    """Rules that a routable event can still break: its instants are written by us."""
+    return tuple(check for check in checks if check[1] is not rules.instant)
+
+
 def _event_json(
     feed: Feed, event_type: str, schema: StructType, stamp: Column, columns: dict[str, Column]
 ) -> Column:
@@ -275,17 +284,17 @@ def normalize(
 
     bar = F.try_variant_get(payload, "$.k", "variant")
     bad_field = (
-        F.when(vendor == "trade", _first_bad_path(payload, TRADE_FIELDS, "trade"))
+        F.when(vendor == "trade", _first_bad_path(TRADE_FIELDS, "trade"))
         .when(
             vendor == "kline",
             F.coalesce(
                 F.when(bar.isNull(), "$.k object"),
-                _first_bad_path(payload, KLINE_FIELDS, "kline"),
+                _first_bad_path(KLINE_FIELDS, "kline"),
                 F.when(~F.schema_of_variant(bar).startswith("OBJECT"), "$.k object"),
-                _first_bad_path(payload, KLINE_BAR_FIELDS, "bar"),
+                _first_bad_path(KLINE_BAR_FIELDS, "bar", "$.k"),
             ),
         )
-        .when(vendor == "24hrTicker", _first_bad_path(payload, TICKER_FIELDS, "ticker"))
+        .when(vendor == "24hrTicker", _first_bad_path(TICKER_FIELDS, "ticker"))
     )
     rows = computed_once(rows, F.struct(bad_field.alias("_bad")), *carried)
     carried.append("_bad")
@@ -296,9 +305,9 @@ def normalize(
     ticker = _columns("ticker", TICKER_FIELDS)
     rule_errors = (
         F.when(F.col("_bad").isNotNull(), "")
-        .when(vendor == "trade", rules.error_text(rules.TRADE_RULES, trade))
-        .when(vendor == "kline", rules.error_text(rules.KLINE_RULES, kline))
-        .when(vendor == "24hrTicker", rules.error_text(rules.TICKER_RULES, ticker))
+        .when(vendor == "trade", rules.error_text(_open_rules(rules.TRADE_RULES), trade))
+        .when(vendor == "kline", rules.error_text(_open_rules(rules.KLINE_RULES), kline))
+        .when(vendor == "24hrTicker", rules.error_text(_open_rules(rules.TICKER_RULES), ticker))
     )
     routing_error = (
         F.when(F.col("_malformed"), F.lit(None).cast("string"))
@@ -311,29 +320,26 @@ def normalize(
             event_type_of(vendor).alias("event_type"),
             F.upper(F.try_variant_get(payload, "$.s", "string")).alias("symbol"),
             routing_error.alias("_routing_error"),
-            rule_errors.alias("_rule_errors"),
         ),
         *carried,
     )
-    carried += ["event_type", "symbol", "_routing_error", "_rule_errors"]
+    carried += ["event_type", "symbol", "_routing_error"]
+    rows = computed_once(rows, F.struct(rule_errors.alias("_rule_errors")), *carried)
+    carried.append("_rule_errors")
 
-    publishable = F.col("_bad").isNull()
+    # One step per event type, again to keep the generated methods small.
     stamped = F.col("_stamp")
-    event_json = (
-        F.when(
-            publishable & (vendor == "trade"),
-            _event_json(feed, "trade", schemas.TRADE_EVENT, stamped, trade),
-        )
-        .when(
-            publishable & (vendor == "kline"),
-            _event_json(feed, "kline", schemas.KLINE_EVENT, stamped, kline),
-        )
-        .when(
-            publishable & (vendor == "24hrTicker"),
-            _event_json(feed, "ticker", schemas.TICKER_EVENT, stamped, ticker),
+    for vendor_name, event_type, schema, columns in (
+        ("trade", "trade", schemas.TRADE_EVENT, trade),
+        ("kline", "kline", schemas.KLINE_EVENT, kline),
+        ("24hrTicker", "ticker", schemas.TICKER_EVENT, ticker),
+    ):
+        json = F.when(
+            F.col("_bad").isNull() & (vendor == vendor_name),
+            _event_json(feed, event_type, schema, stamped, columns),
         )
-    )
-    rows = computed_once(rows, F.struct(event_json.alias("_event_json")), *carried)
+        rows = computed_once(rows, F.struct(json.alias(f"_{event_type}_json")), *carried)
+        carried.append(f"_{event_type}_json")
 
     failed = (
         F.when(F.col("_malformed"), JSON_DECODE_ERROR)
@@ -353,7 +359,7 @@ def normalize(
         "event_type",
         topic.alias("topic"),
         F.col("symbol").alias("key"),
-        F.col("_event_json").alias("value"),
+        F.coalesce("_trade_json", "_kline_json", "_ticker_json").alias("value"),
         headers(feed, F.col("event_type")).alias("headers"),
         "symbol",
         F.coalesce(topic, F.lit(UNKNOWN_TOPIC)).alias("source_topic"),
