@@ -61,6 +61,29 @@ def is_instant_text(text: Column) -> Column:
     return text.rlike(INSTANT_PATTERN) & F.try_to_timestamp(F.replace(text, F.lit(","), F.lit("."))).isNotNull()
 
 
+def sealed_json(text: Column) -> Column:
+    """The text parsed to VARIANT as the first element of an array sealed by its hash.
+
+    Spark's parser stops at the end of the first value and ignores what follows. The seal
+    is only found at its place when the text is one complete JSON value.
+    """
+    seal = F.xxhash64(text).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]")))
+
+
+def unsealed(sealed: Column, text: Column) -> Column:
+    """The VARIANT inside ``sealed_json``, null when the text was not one JSON value."""
+    whole = (F.try_variant_get(sealed, "$[1]", "bigint") == F.xxhash64(text)) & (
+        F.try_variant_get(sealed, "$[2]", "variant").isNull()
+    )
+    return F.when(whole, F.try_variant_get(sealed, "$[0]", "variant"))
+
+
+def strict_json(text: Column) -> Column:
+    """Text as VARIANT, null unless it is exactly one JSON value."""
+    return unsealed(sealed_json(text), text)
+
+
 def _fraction_digits(text: Column) -> Column:
     point = F.instr(text, ".")
     return F.when(point == 0, 0).otherwise(F.length(text) - point)

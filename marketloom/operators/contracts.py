@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.values import is_instant_text, to_money
-from marketloom.operators.rows import computed_once
+from marketloom.operators.rows import computed_once, with_json
 
 # Patterns of the contracts.
 SYMBOL_PATTERN = "^[A-Z0-9]{5,20}$"
@@ -239,13 +239,8 @@ def contract_violations(
     ``additionalProperties``.
     """
     columns = events.columns
-    parsed = computed_once(
-        events,
-        F.struct(
-            F.try_parse_json(F.col(value)).alias("_event"),
-            F.json_object_keys(F.col(value)).alias("_keys"),
-        ),
-        *columns,
+    parsed = with_json(events, value, "_event", *columns).withColumn(
+        "_keys", F.json_object_keys(F.col(value))
     )
     event = F.col("_event")
     known = F.array(*(F.lit(spec.name) for spec in contract.fields))

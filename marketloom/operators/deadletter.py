@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.config import Feed
-from marketloom.functions.values import iso_millis
+from marketloom.functions.values import iso_millis, strict_json
 from marketloom.operators.normalize import (
     UNKNOWN_TOPIC,
     event_type_of,
@@ -23,13 +23,13 @@ from marketloom.operators.normalize import (
 
 def infer_source_topic(raw: Column, feed: Feed = Feed()) -> Column:
     """The topic a raw message was meant for, ``unknown`` when that cannot be told."""
-    payload = unwrap(F.try_parse_json(message_text(raw)))
+    payload = unwrap(strict_json(message_text(raw)))
     return F.coalesce(topic_of(event_type_of(vendor_type(payload)), feed), F.lit(UNKNOWN_TOPIC))
 
 
 def infer_symbol(raw: Column) -> Column:
     """The symbol of a raw message in upper case, null when there is none."""
-    payload = unwrap(F.try_parse_json(message_text(raw)))
+    payload = unwrap(strict_json(message_text(raw)))
     return F.upper(F.try_variant_get(payload, "$.s", "string"))
 
 

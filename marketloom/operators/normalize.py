@@ -21,7 +21,7 @@ from marketloom.functions.values import (
     iso_millis,
     product_text,
 )
-from marketloom.operators.rows import computed_once
+from marketloom.operators.rows import computed_once, with_json
 
 JSON_DECODE_ERROR = "JSON_DECODE_ERROR"
 ROUTING_ERROR = "ROUTING_ERROR"
@@ -247,13 +247,10 @@ def normalize(
     stamp = iso_millis(F.current_timestamp() if ingest_time is None else ingest_time)
     raw = message_text(F.col(value))
     payload, vendor = F.col("_payload"), F.col("_vendor_type")
-    parsed = computed_once(
-        messages,
-        F.struct(
-            raw.alias("raw_payload"), F.try_parse_json(raw).alias("_doc"), stamp.alias("_stamp")
-        ),
-        *keep,
+    decoded = computed_once(
+        messages, F.struct(raw.alias("raw_payload"), stamp.alias("_stamp")), *keep
     )
+    parsed = with_json(decoded, "raw_payload", "_doc", *keep, "raw_payload", "_stamp")
     unwrapped = computed_once(
         parsed,
         F.struct(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.functions.values import sealed_json, unsealed
+
 
 def computed_once(
     rows: DataFrame, record: Column, *keep: str, names: Sequence[str] | None = None
@@ -23,6 +25,14 @@ def computed_once(
     return rows.select(*keep, fields.alias(*names) if names else fields)
 
 
+def with_json(rows: DataFrame, text: str, name: str, *keep: str) -> DataFrame:
+    """``keep`` and ``name``: the text column as VARIANT, null unless one whole JSON value."""
+    sealed = computed_once(rows, F.struct(sealed_json(F.col(text)).alias("_sealed")), *keep)
+    return computed_once(
+        sealed, F.struct(unsealed(F.col("_sealed"), F.col(text)).alias(name)), *keep
+    )
+
+
 def watermarked(rows: DataFrame, event_time: str, delay: str | None) -> DataFrame:
     """Put a watermark on a stream; batch input is returned as it is."""
     return rows.withWatermark(event_time, delay) if delay and rows.isStreaming else rows

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import rules
-from marketloom.operators.rows import computed_once
+from marketloom.operators.rows import computed_once, with_json
 
 _RULES = {"trade": rules.TRADE_RULES, "kline": rules.KLINE_RULES, "ticker": rules.TICKER_RULES}
 
@@ -28,9 +28,7 @@ def event_errors(event: Column) -> Column:
 def validate(events: DataFrame, value: str = "value") -> DataFrame:
     """Add ``is_valid`` and ``errors`` (array, in rule order) to normalised JSON events."""
     columns = events.columns
-    parsed = computed_once(
-        events, F.struct(F.try_parse_json(F.col(value)).alias("_event")), *columns
-    )
+    parsed = with_json(events, value, "_event", *columns)
     checked = computed_once(
         parsed, F.struct(event_errors(F.col("_event")).alias("_errors")), *columns
     )
