@@ -13,6 +13,7 @@ def spark():
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.functions.values import product_text
 from marketloom.operators.normalize import normalize, valid_events
 from tests.builders import kline_message, messages, ticker_message, trade_message, without
 
@@ -94,11 +95,12 @@ def test_errors_and_their_precedence(spark, message, error_type, text):
     [
         ("0.001", "100", "0.100"), ("62500.12", "0.005", "312.50060"), ("3", "4", "12"),
         ("-1.5", "2", "-3.0"), ("0.00000001", "0.00000001", "0.0000000000000001"),
+        ("123456789012.5", "3", "370370367037.500000"), ("1e3", "2", "2000.000000"),
     ],
 )
 def test_product_keeps_all_fraction_digits(spark, left, right, product):
-    row = one(spark, trade_message(p=left.lstrip("-"), q=right))
-    assert json.loads(row.value)["trade_value"] == product.lstrip("-")
+    row = spark.createDataFrame([(left, right)], "l STRING, r STRING")
+    assert row.select(product_text(F.col("l"), F.col("r"))).first()[0] == product
 
 
 def test_every_message_has_exactly_one_outcome(spark):
