@@ -17,12 +17,13 @@ from marketloom.config import Feed
 from marketloom.functions.values import MONEY
 from marketloom.operators.normalize import normalize
 from marketloom.operators.deadletter import route
+from marketloom.sources.tables import spread_small
 
 FEED = Feed()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -113,9 +113,9 @@ snap AS (
   SELECT lw.symbol, e / 100.0 AS latest_price, pct, lw.volume AS volume_5m,
     """ + LEVEL + """ AS level, coalesce(""" + ALERT_TYPE + """, 'NONE') AS latest_signal,
     ls.ratio AS ratio, ls.strength AS strength, lw.we AS last_updated_time,
-    round_even(coalesce(abs(pct), 0) * 1.5 + coalesce(ls.ratio, 0)
+    round_even(1000 * (coalesce(abs(pct), 0) * 1.5 + coalesce(ls.ratio, 0)
       + CASE ls.strength WHEN 'HIGH' THEN 3.0 WHEN 'MEDIUM' THEN 1.5 ELSE 0.0 END
-      + CASE WHEN abs(pct) >= 1.5 THEN 2.0 WHEN abs(pct) >= 0.5 THEN 1.0 ELSE 0.0 END, 3) AS score,
+      + CASE WHEN abs(pct) >= 1.5 THEN 2.0 WHEN abs(pct) >= 0.5 THEN 1.0 ELSE 0.0 END), 0) / 1000 AS score,
     CASE WHEN pct IS NULL OR abs(pct) < 0.1 THEN 'FLAT' WHEN pct > 0 THEN 'UP' ELSE 'DOWN' END
       AS direction,
     CASE WHEN ls.strength = 'HIGH' OR ls.ratio >= 2 THEN 'Volume spike'
@@ -181,9 +181,9 @@ ev_all AS (SELECT m.symbol, m.we, pct, ratio, strength, m.volume FROM m
 @query(
     "q5_attention_score",
     f"""WITH {_EVERY} SELECT symbol, {t('we')} AS last_updated_time,
-      round_even((coalesce(CAST(abs(pct) AS DOUBLE), 0) * 1.5 + coalesce(CAST(ratio AS DOUBLE), 0))
+      round_even(1000 * ((coalesce(CAST(abs(pct) AS DOUBLE), 0) * 1.5 + coalesce(CAST(ratio AS DOUBLE), 0))
         + CASE strength WHEN 'HIGH' THEN 3.0 WHEN 'MEDIUM' THEN 1.5 ELSE 0.0 END
-        + CASE WHEN abs(pct) >= 1.5 THEN 2.0 WHEN abs(pct) >= 0.5 THEN 1.0 ELSE 0.0 END, 3)
+        + CASE WHEN abs(pct) >= 1.5 THEN 2.0 WHEN abs(pct) >= 0.5 THEN 1.0 ELSE 0.0 END), 0) / 1000
         AS attention_score FROM ev_all""",
 )
 def q5_attention_score(spark: SparkSession, sf_dir: str) -> DataFrame:

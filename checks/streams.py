@@ -389,6 +389,53 @@ def w1_tumbling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "w2_late_rows_and_restart",
+    f"""WITH {GOLD} SELECT {_WINDOW}, {_num('volume')} AS total_volume, n AS number_of_trades
+    FROM m""",
+)
+def w2_late_rows_and_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows after three runs of one query from its checkpoint.
+
+    The second run only sees a trade one day later, which closes every window; the third
+    sees all trades again, all of them too late by then.
+    """
+    root = inputs.work_dir(spark, "late")
+    trades = inputs.trades(spark, sf_dir)
+    later = F.max("event_time") + F.make_dt_interval(days=F.lit(1))
+    flush = trades.agg(later.alias("event_time")).select(
+        *(
+            F.col("event_time") if field.name == "event_time"
+            else F.lit("FLUSH" if field.name == "symbol" else None).cast(field.dataType).alias(field.name)
+            for field in trades.schema.fields
+        )
+    )
+    for arriving in (trades, flush, trades):
+        arriving.write.mode("append").parquet(f"{root}/source")
+        rows = tables.stream_table(spark, f"{root}/source", trades.schema)
+        measured = windows.window_measures(rows, watermark_delay="10 minutes")
+        layers.drain(
+            [
+                sinks.append_stream(
+                    windows.trade_summary(measured), f"{root}/out",
+                    checkpoint=f"{root}/checkpoint", name="late", available_now=True,
+                )
+            ]
+        )
+    stored = spark.read.schema(schemas.TRADE_SUMMARY).parquet(f"{root}/out")
+    return stored.select("symbol", "window_start", "window_end", "total_volume", "number_of_trades")
+
+
+@query(
+    "w3_closed_windows",
+    f"""WITH {_STREAM_GOLD} SELECT count(*) AS windows, {t('max(we)')} AS last_closed FROM m""",
+)
+def w3_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What append mode has written: windows the watermark has passed, each once."""
+    rows = _gold(spark, sf_dir, config.GOLD_SUMMARY)
+    return rows.agg(F.count("*").alias("windows"), F.max("window_end").alias("last_closed"))
+
+
 # --- alerts and catalog ------------------------------------------------------------------
 
 

@@ -70,11 +70,15 @@ def _bonus(level: Column, weights: dict[str, float]) -> Column:
 def attention_score(
     change_pct: Column, ratio: Column, strength: Column, volatility: Column
 ) -> Column:
-    """Weighted size of move and volume ratio plus bonuses, three digits, half to even."""
+    """Weighted size of move and volume ratio plus bonuses, three digits, half to even.
+
+    Rounded the way numeric arrays are: scaled, rounded to an integer, scaled back.
+    """
     move = F.coalesce(F.abs(_finite(change_pct)), F.lit(0.0))
     volume = F.coalesce(_finite(ratio), F.lit(0.0))
     bonus = _bonus(strength, SIGNAL_BONUS), _bonus(volatility, VOLATILITY_BONUS)
-    return F.bround(move * F.lit(MOVE_WEIGHT) + volume + bonus[0] + bonus[1], 3)
+    score = move * F.lit(MOVE_WEIGHT) + volume + bonus[0] + bonus[1]
+    return F.rint(score * 1000) / 1000
 
 
 def market_direction(change_pct: Column) -> Column:
