@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import contracts, deadletter
@@ -37,23 +36,20 @@ def test_letters_fulfil_their_contract(spark):
     assert contracts.contract_report(rows, contracts.INVALID_CONTRACT).count() == 0
 
 
-@pytest.mark.parametrize(
-    "raw, topic, symbol",
-    [
+def test_context_of_bad_messages(spark):
+    cases = [
         ('{"data": {"e": "trade", "s": "abc"}}', "market.trades.raw", "ABC"),
         ('{"data": {"e": "kline"}}', "market.klines.raw", None),
         ('{"e": "24hrTicker", "s": "x"}', "market.tickers.raw", "X"),
         ('{"data": {"e": "other", "s": "x"}}', "unknown", "X"),
         ("{bad", "unknown", None),
         ("[]", "unknown", None),
-    ],
-)
-def test_context_of_bad_messages(spark, raw, topic, symbol):
-    row = messages(spark, raw).select(
+    ]
+    rows = messages(spark, *(case[0] for case in cases)).select(
         deadletter.infer_source_topic(F.col("value")).alias("topic"),
         deadletter.infer_symbol(F.col("value")).alias("symbol"),
-    ).first()
-    assert (row.topic, row.symbol) == (topic, symbol)
+    )
+    assert [tuple(row) for row in rows.collect()] == [case[1:] for case in cases]
 
 
 def test_route_puts_every_message_on_one_topic(spark):

@@ -53,41 +53,47 @@ def test_bytes_are_decoded_with_replacement(spark):
     assert row.raw_payload.endswith("�")
 
 
-@pytest.mark.parametrize(
-    "message, error_type, text",
-    [
-        ("{oops", "JSON_DECODE_ERROR", "message is not valid JSON"),
-        ('{"e": "trade"} {"e": "trade"}', "JSON_DECODE_ERROR", "message is not valid JSON"),
-        ('{"e": "trade"}, 1', "JSON_DECODE_ERROR", "message is not valid JSON"),
-        ('{"e": "trade"}]', "JSON_DECODE_ERROR", "message is not valid JSON"),
-        ("1],[2", "JSON_DECODE_ERROR", "message is not valid JSON"),
-        ("", "JSON_DECODE_ERROR", "message is not valid JSON"),
-        ("[1, 2]", "ROUTING_ERROR", "Binance payload is not a JSON object"),
-        ('{"data": null}', "ROUTING_ERROR", "Binance payload is not a JSON object"),
-        ('{"x": 1}', "ROUTING_ERROR", "Unsupported Binance event type: None"),
-        ('{"e": "depth"}', "ROUTING_ERROR", "Unsupported Binance event type: depth"),
-        ({"data": without(trade_message()["data"], "q")}, "ROUTING_ERROR", "'q'"),
-        (trade_message(p=None), "ROUTING_ERROR", "Invalid decimal value: None"),
-        (trade_message(p="seven"), "ROUTING_ERROR", "Invalid decimal value: seven"),
-        (trade_message(p="NaN"), "VALIDATION_ERROR", "price is not numeric"),
-        (trade_message(t="x"), "ROUTING_ERROR", "invalid literal for int() with base 10: 'x'"),
-        (trade_message(m="yes"), "ROUTING_ERROR", "value is not a JSON boolean"),
-        (trade_message(E=10**17), "ROUTING_ERROR", f"timestamp out of range: {10**17}"),
-        (trade_message(s=" "), "VALIDATION_ERROR", "symbol is missing"),
-        (
-            trade_message(p="0", q="-1"),
-            "VALIDATION_ERROR",
-            "price must be greater than zero; quantity must be greater than zero",
-        ),
-        (kline_message(v="-0.5"), "VALIDATION_ERROR", "volume must be greater than or equal to zero"),
-        (kline_message({"k": 3}), "ROUTING_ERROR", "kline is not a JSON object"),
-        ({"e": "kline", "s": "A", "E": 1}, "ROUTING_ERROR", "'k'"),
-        (ticker_message(c="0"), "VALIDATION_ERROR", "last_price must be greater than zero"),
-    ],
-)
-def test_errors_and_their_precedence(spark, message, error_type, text):
-    row = one(spark, message)
-    assert (row.error_type, row.error_message) == (error_type, text)
+ERRORS = [
+    ("{oops", "JSON_DECODE_ERROR", "message is not valid JSON"),
+    ('{"e": "trade"} {"e": "trade"}', "JSON_DECODE_ERROR", "message is not valid JSON"),
+    ('{"e": "trade"}, 1', "JSON_DECODE_ERROR", "message is not valid JSON"),
+    ('{"e": "trade"}]', "JSON_DECODE_ERROR", "message is not valid JSON"),
+    ("1],[2", "JSON_DECODE_ERROR", "message is not valid JSON"),
+    ("", "JSON_DECODE_ERROR", "message is not valid JSON"),
+    ("[1, 2]", "ROUTING_ERROR", "Binance payload is not a JSON object"),
+    ('{"data": null}', "ROUTING_ERROR", "Binance payload is not a JSON object"),
+    ('{"x": 1}', "ROUTING_ERROR", "Unsupported Binance event type: None"),
+    ('{"e": "depth"}', "ROUTING_ERROR", "Unsupported Binance event type: depth"),
+    ({"data": without(trade_message()["data"], "q")}, "ROUTING_ERROR", "'q'"),
+    (trade_message(p=None), "ROUTING_ERROR", "Invalid decimal value: None"),
+    (trade_message(p="seven"), "ROUTING_ERROR", "Invalid decimal value: seven"),
+    (trade_message(p="NaN"), "VALIDATION_ERROR", "price is not numeric"),
+    (trade_message(t="x"), "ROUTING_ERROR", "invalid literal for int() with base 10: 'x'"),
+    (trade_message(m="yes"), "ROUTING_ERROR", "value is not a JSON boolean"),
+    (trade_message(E=10**17), "ROUTING_ERROR", f"timestamp out of range: {10**17}"),
+    (trade_message(s=" "), "VALIDATION_ERROR", "symbol is missing"),
+    (
+        trade_message(p="0", q="-1"),
+        "VALIDATION_ERROR",
+        "price must be greater than zero; quantity must be greater than zero",
+    ),
+    (kline_message(v="-0.5"), "VALIDATION_ERROR", "volume must be greater than or equal to zero"),
+    (kline_message({"k": 3}), "ROUTING_ERROR", "kline is not a JSON object"),
+    ({"e": "kline", "s": "A", "E": 1}, "ROUTING_ERROR", "'k'"),
+    (ticker_message(c="0"), "VALIDATION_ERROR", "last_price must be greater than zero"),
+]
+
+
+@pytest.fixture(scope="module")
+def outcomes(spark):
+    """All faulty messages through one job, by position."""
+    rows = normalize(messages(spark, *(case[0] for case in ERRORS)), keep=("id",)).collect()
+    return {row.id: (row.error_type, row.error_message) for row in rows}
+
+
+@pytest.mark.parametrize("position", range(len(ERRORS)), ids=lambda i: ERRORS[i][2][:40])
+def test_errors_and_their_precedence(outcomes, position):
+    assert outcomes[position] == ERRORS[position][1:]
 
 
 @pytest.mark.parametrize(
