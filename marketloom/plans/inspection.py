@@ -56,8 +56,13 @@ def newest_price_alert_rows(alerts: DataFrame, limit: int = INSPECTION_ROWS) ->
     )
 
 
-def table_inventory(tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Per table: whether it exists, its rows and its number of columns, by name."""
+def table_inventory(
+    tables: Mapping[str, DataFrame | None], paths: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Per table: whether it exists, its rows and its number of columns, by name.
+
+    ``paths`` adds where each table is stored.
+    """
     spark = next(table for table in tables.values() if table is not None).sparkSession
     rows = []
     for name, table in tables.items():
@@ -72,6 +77,7 @@ def table_inventory(tables: Mapping[str, DataFrame | None]) -> DataFrame:
                 F.lit(table is not None).alias("table_exists"),
                 "rows",
                 F.lit(0 if table is None else len(table.columns)).alias("columns"),
+                *([F.lit(paths[name]).alias("path")] if paths else []),
             )
         )
     return reduce(DataFrame.unionByName, rows).orderBy("table")

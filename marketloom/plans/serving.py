@@ -244,11 +244,21 @@ def _health_row(name: str, table: DataFrame | None, start: datetime | None, any_
 
 
 def table_health(
-    tables: Mapping[str, DataFrame | None], *, start: datetime | None = None
+    tables: Mapping[str, DataFrame | None],
+    *,
+    start: datetime | None = None,
+    paths: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Per table: whether it exists, rows in range, all rows, newest time. One pass each."""
+    """Per table: whether it exists, rows in range, all rows, newest time. One pass each.
+
+    ``paths`` adds where each table is stored.
+    """
     present = next(table for table in tables.values() if table is not None)
     rows = [_health_row(name, table, start, present) for name, table in tables.items()]
+    if paths:
+        rows = [
+            row.withColumn("path", F.lit(paths[name])) for name, row in zip(tables, rows)
+        ]
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -47,6 +47,20 @@ def read_table_or_empty(
     return spark.createDataFrame([], schema) if table is None else table
 
 
+def read_tables(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    schemas: Mapping[str, StructType],
+    *,
+    table_format: str = "parquet",
+) -> dict[str, DataFrame | None]:
+    """Several tables by name, None for each that does not exist."""
+    return {
+        name: read_table(spark, path, schemas.get(name), table_format=table_format)
+        for name, path in paths.items()
+    }
+
+
 def stream_table(
     spark: SparkSession,
     path: str,
@@ -106,9 +120,8 @@ def register_tables(
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING {table_format} LOCATION '{path}'"
         )
-        if spark.catalog.listColumns(f"`{database}`.`{name}`") and any(
-            column.isPartition for column in spark.catalog.listColumns(f"`{database}`.`{name}`")
-        ):
+        columns = spark.catalog.listColumns(f"`{database}`.`{name}`")
+        if any(column.isPartition for column in columns):
             spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
         registered.append(name)
     return registered

@@ -4,6 +4,7 @@ import pytest
 
 from marketloom import config, schemas
 from marketloom.config import Settings
+from marketloom.plans import inspection, serving
 from marketloom.sources import bus, sinks, tables
 from tests.builders import summary
 
@@ -63,6 +64,20 @@ def test_registration_skips_missing_tables(spark, tmp_path):
     assert [r.batch_id for r in spark.table(f"{database}.two").collect()] == [3]
 
 
+def test_health_and_inventory_of_stored_tables(spark, tmp_path):
+    summary(spark, ROW).write.parquet(str(tmp_path / config.GOLD_SUMMARY))
+    paths = {name: str(tmp_path / name) for name in (config.GOLD_SUMMARY, config.GOLD_SPIKES)}
+    stored = tables.read_tables(spark, paths, schemas.TABLE_SCHEMAS)
+    health = {r.table: r for r in serving.table_health(stored, paths=paths).collect()}
+    assert health[config.GOLD_SUMMARY].total_row_count == 1
+    assert not health[config.GOLD_SPIKES].table_exists
+    assert health[config.GOLD_SPIKES].path == paths[config.GOLD_SPIKES]
+    inventory = inspection.table_inventory(stored, paths).collect()
+    assert [(r.table, r.rows, r.columns) for r in inventory] == [
+        (config.GOLD_SUMMARY, 1, 8), (config.GOLD_SPIKES, 0, 0),
+    ]
+
+
 def test_settings_from_environment():
     settings = Settings.from_env(
         {
