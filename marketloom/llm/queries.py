@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marketloom.llm.bpe import encode_digests
 from marketloom.llm.exact_dedup import exact_dedup
+from marketloom.llm.packing import pack_documents
 from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.urlfilter import judge_urls
 
@@ -14,6 +17,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: The public tokenizer file of the token queries; every worker has it.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -29,6 +35,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_best_two_fit")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 @query(
     "op4_url_filter",
     """
@@ -74,6 +85,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op9_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

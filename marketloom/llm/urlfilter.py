@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.work import stored
@@ -121,6 +121,11 @@ def _bounded(count: int, most: int) -> int:
     return count
 
 
+def _keys(spark: SparkSession, keys: list[str]) -> DataFrame:
+    texts = F.array(*[F.lit(key) for key in keys]).cast("array<string>")
+    return spark.range(1).select(F.explode(texts).alias("key"))
+
+
 def candidate_keys(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
     """The rule texts that would fit: host and parent domains of those label counts, path
     prefixes of those lengths, longest text first."""
@@ -162,10 +167,10 @@ def judge_urls(
     lengths = sorted({len(prefix) for _, _, prefix in rules}, reverse=True)
     keyed = rows.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), labels, lengths))
     universe = keyed.select(F.explode("keys").alias("key"))
-    listed = spark.createDataFrame([(host + prefix,) for _, host, prefix in rules], "key string")
-    blocked = [(host + prefix,) for verdict, host, prefix in rules if verdict == "block"]
+    listed = _keys(spark, [host + prefix for _, host, prefix in rules])
+    blocked = _keys(spark, [host + prefix for verdict, host, prefix in rules if verdict == "block"])
     in_rules = Cascade.build(listed, universe)
-    in_blocked = Cascade.build(spark.createDataFrame(blocked, "key string"), listed)
+    in_blocked = Cascade.build(blocked, listed)
     rule = F.get(F.filter("keys", in_rules.contains), 0)
     return keyed.select("page_id", "host", "path", rule.alias("rule")).withColumn(
         "verdict",
