@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.bpe import encode_digests
 from marketloom.llm.exact_dedup import exact_dedup
+from marketloom.llm.language import identify
 from marketloom.llm.packing import pack_documents
 from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.topk import top_k
@@ -20,8 +21,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-#: The public tokenizer file of the token queries; every worker has it.
+#: The public tokenizer files of the queries; every worker has it.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +50,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 @query(
     "op4_url_filter",
     """
