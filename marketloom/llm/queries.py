@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.bpe import encode_digests
 from marketloom.llm.exact_dedup import exact_dedup
+from marketloom.llm.html_text import extract
 from marketloom.llm.language import identify
 from marketloom.llm.packing import pack_documents
 from marketloom.llm.simhash import near_duplicates
@@ -107,6 +108,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op6_html_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op7_exact_dedup",
     r"""
