@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Entries of a cache before it starts anew, and characters of a stretch that is kept.
-CACHE, KEPT_CHARS = 600_000, 64
+CACHE, KEPT_CHARS = 700_000, 64
 #: Characters of a text that are worked on at a time.
 SLICE = 1 << 16
 WORD_END = "</w>"
@@ -77,6 +77,8 @@ class MergeList:
                 if a + b in vocab and self.crossing(a, b) == i:
                     self.tokens[a + b] = vocab[a + b]
         self.name = {i: s for s, i in self.tokens.items()}
+        #: Every beginning of a token, with the token's id or -1 if it is none itself.
+        self.begun = {s[:n]: -1 for s in self.tokens for n in range(1, len(s))} | self.tokens
         self.longest = max(map(_width, self.tokens))
         self.lookahead = self._lookahead(merges)
 
@@ -120,31 +122,36 @@ class MergeList:
         return found
 
     def encode_short(self, word: str) -> list[int]:
-        """Ids of a whole word that fits in memory: the transducer's rule over all prefixes."""
-        find, known, fits, longest = self.tokens.get, self.known_fits.get, self.fits, self.longest
-        size = len(word)
-        last: list[int] = [-1] * (size + 1)
-        begin = [0] * (size + 1)
-        for at in range(1, size + 1):
-            end = WORD_END if at == size else ""
-            for start in range(at - longest if at > longest else 0, at):
-                token = find(word[start:at] + end if end else word[start:at])
-                if token is not None:
-                    if not start:
-                        break
-                    left = last[start]
-                    good = known(left << 32 | token)
+        """Ids of a whole word that fits in memory: the transducer's rule, forwards from every
+        position as far as some token goes on."""
+        find, known, fits, size = self.begun.get, self.known_fits.get, self.fits, len(word)
+        last, begin = [-1] * (size + 1), [0] * (size + 1)
+        for start in range(size):
+            left = last[start]
+            # What ends the word is a token of its own kind.
+            token = find(word[start:] + WORD_END, -1) if size - start <= self.longest else -1
+            if token >= 0 and (left < 0 or self._may_follow(left, token)):
+                last[size], begin[size] = token, start
+            for at in range(start + 1, size):
+                token = find(word[start:at])
+                if token is None:
+                    break
+                if token >= 0 and last[at] < 0:
+                    good = left < 0 or known(left << 32 | token)
                     if good or good is None and fits(left, token):
-                        break
-            else:
-                raise ValueError(f"no token ends with {word[at - 1]!r}")
-            last[at], begin[at] = token, start
-        found = []
+                        last[at], begin[at] = token, start
+        found, at = [], size
         while at:
+            if last[at] < 0:
+                raise ValueError(f"{word!r} has a character without a token")
             found.append(last[at])
             at = begin[at]
         return found[::-1]
 
+    def _may_follow(self, a: int, b: int) -> bool:
+        good = self.known_fits.get(a << 32 | b)
+        return self.fits(a, b) if good is None else good
+
     def _lookahead(self, merges: list[tuple[str, str]]) -> int:
         """Characters to the right of a token after which nothing can change it.
 
@@ -274,55 +281,67 @@ class Encoder:
         self.merges = MergeList(model["vocab"], [tuple(pair) for pair in model["merges"]])
         self.names = {i: s for s, i in (model["vocab"] | self.added).items()}
         self.kind = (data["decoder"] or {}).get("type")
+        self.text_gap = b"" if self.kind == "ByteLevel" else b" "
         self.words = Kept(self._word)
         #: Per stretch: ids as text, decoded text in UTF-8, number of ids.
         self.stretches = Kept(self._stretch)
 
-    def _word(self, word: str) -> list[int]:
+    def _word_ids(self, word: str) -> list[int]:
         """Ids of one pre-token, given in byte letters."""
         if len(word) <= KEPT_CHARS:
             return self.merges.encode_short(word)
         transducer = Transducer(self.merges)
         return [*transducer.feed(word[:-1]), *transducer.finish(word[-1])]
 
-    def ids(self, stretch: str) -> list[int]:
-        """Ids of a text without white space."""
-        found: list[int] = []
-        parts = self.split_added.split(stretch) if self.split_added and "<|" in stretch else [stretch]
-        for part in parts:
+    def _result(self, ids: list[int]) -> tuple[bytes, bytes, int]:
+        decoder = Decoder(self.names, self.kind)
+        text = "".join(map(decoder.push, ids)) + decoder.finish()
+        return " ".join(map(str, ids)).encode(), text.encode("utf-8"), len(ids)
+
+    def _word(self, word: str) -> tuple[bytes, bytes, int]:
+        return self._result(self._word_ids(word))
+
+    def _parts(self, stretch: str) -> list[tuple[bytes, bytes, int]]:
+        """Results of the pre-tokens of a text without white space."""
+        if "<|" not in stretch or not self.added:
+            return [self.words[word] for word in self._pre_tokens(stretch)]
+        found = []
+        for part in self.split_added.split(stretch):
             if part in self.added:
-                found.append(self.added[part])
+                found.append(self._result([self.added[part]]))
             elif part:
-                for word in self._pre_tokens(part):
-                    found += self.words[word]
+                found += [self.words[word] for word in self._pre_tokens(part)]
         return found
 
     def _pre_tokens(self, part: str) -> list[str]:
-        if part.isascii() or SIMPLE.fullmatch(part):
+        if part.isascii() and part.isprintable():
+            return _WORDS.findall(part.lower())
+        if SIMPLE.fullmatch(part):
             words = _WORDS.findall(part.lower())
             return [w.encode().decode("latin-1").translate(LETTERS) for w in words]
         text = self.library.normalizer.normalize_str(part)
         return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def _stretch(self, stretch: str) -> tuple[bytes, bytes, int]:
-        ids = self.ids(stretch)
-        decoder = Decoder(self.names, self.kind)
-        text = "".join(map(decoder.push, ids)) + decoder.finish()
-        return " ".join(map(str, ids)).encode(), text.encode("utf-8"), len(ids)
+        parts = self._parts(stretch)
+        if len(parts) == 1:
+            return parts[0]
+        ids, texts = b" ".join([x[0] for x in parts]), self.text_gap.join([x[1] for x in parts])
+        return ids, texts, sum([x[2] for x in parts])
 
     def encode(self, text: str) -> list[int]:
-        return [i for stretch in stretches_of(text) for i in self.ids(stretch)]
+        found = b" ".join([self.stretches[stretch][0] for stretch in stretches_of(text)])
+        return list(map(int, found.split()))
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, digest of the ids as text, digest of the decoded text."""
         ids, decoded, count, gap = hashlib.sha256(), hashlib.sha256(), 0, b""
         look_up = self.stretches.__getitem__
-        text_gap = b"" if self.kind == "ByteLevel" else b" "
         for part in slices(text):
             found = list(map(look_up, stretches_of(part)))
             if found:
                 ids.update(gap + b" ".join([x[0] for x in found]))
-                decoded.update((text_gap if gap else b"") + text_gap.join([x[1] for x in found]))
+                decoded.update((self.text_gap if gap else b"") + self.text_gap.join([x[1] for x in found]))
                 count += sum([x[2] for x in found])
                 gap = b" "
         return count, ids.hexdigest(), decoded.hexdigest()
