@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from marketloom.llm.bpe import SLICE, slices
 from marketloom.llm.work import stored
@@ -35,6 +36,8 @@ SMOOTHING, UNKNOWN = 0.05, 1e-9
 CACHE = 2_000_000
 #: The answer for texts without letters.
 NONE = "und"
+#: Share of the best language below which a document is in none.
+LEAST_SCORE = 0.5
 #: Runs of letters, with letters of all scripts.
 LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x100000001B3)
@@ -258,11 +261,12 @@ def _model(token: str, pieces: list[str], languages: list[str], weights: np.ndar
 
 
 def predict(docs: DataFrame, pieces: list[str], languages: list[str], weights: np.ndarray) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` from ``doc_id, held_out, text``.
+    """``docs`` with ``lang_pred, score`` instead of its column ``text``.
 
     The score is the language's share of the text's probability over all languages.
     """
     token = uuid.uuid4().hex
+    kept = [name for name in docs.columns if name != "text"]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(token, pieces, languages, weights) if languages else None
@@ -276,14 +280,14 @@ def predict(docs: DataFrame, pieces: list[str], languages: list[str], weights: n
                     logs = model.text_logs(text) if model is not None and text else None
                     found.append((NONE, 0.0) if logs is None else best_of(logs, languages))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"),
-                 pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"],
+                [*map(batch.column, kept), pa.array([x[0] for x in found], pa.string()),
+                 pa.array([x[1] for x in found], pa.float64())],
+                [*kept, "lang_pred", "score"],
             )
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(
-        batches, "doc_id long, held_out boolean, lang_pred string, score double"
-    )
+    kinds = [docs.schema[name] for name in kept]
+    schema = StructType([*kinds, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(batches, schema)
 
 
 def best_of(logs: np.ndarray, languages: list[str]) -> tuple[str, float]:
@@ -308,12 +312,36 @@ def identify(
     nothing is labelled, is ``und`` with score 0. Ties go to the first language in order.
     Repeated rows give repeated rows; empty input gives none; other columns are not read.
     """
+    rows = _rows(docs, id_col, text_col, lang_col)
+    pieces = vocabulary(model_path)
+    languages, weights = fit(rows.where(~F.col("held_out")), pieces, sample_docs)
+    return predict(rows.select("doc_id", "held_out", "text"), pieces, languages, weights)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
     )
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    rows = rows.withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
+    return rows.withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
+
+
+def in_a_language(
+    docs: DataFrame,
+    model_path: str,
+    least_score: float = LEAST_SCORE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is in one of the languages.
+
+    Texts without letters go, and those whose best language has less than ``least_score``.
+    """
     pieces = vocabulary(model_path)
-    languages, weights = fit(rows.where(~F.col("held_out")), pieces, sample_docs)
-    return predict(rows, pieces, languages, weights)
+    rows = _rows(docs, id_col, text_col, lang_col)
+    languages, weights = fit(rows.where(~F.col("held_out")), pieces)
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row")
+    found = predict(docs.select(whole, docs[f"`{text_col}`"].cast("string").alias("text")), pieces, languages, weights)
+    return found.where((F.col("lang_pred") != NONE) & (F.col("score") >= least_score)).select("_row.*")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.bpe import encode_digests
+from marketloom.llm.chaining import repeated_passages
 from marketloom.llm.exact_dedup import exact_dedup
 from marketloom.llm.html_text import extract
 from marketloom.llm.language import identify
@@ -129,6 +130,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op8_repeated_passages")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), WORD_BPE)
