@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="llm-")
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
 
@@ -18,8 +24,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
