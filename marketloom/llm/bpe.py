@@ -53,6 +53,11 @@ LETTERS = byte_letters()
 BYTES = {letter: byte for byte, letter in LETTERS.items()}
 
 
+def letters_of(word: str) -> str:
+    """A letter for each byte of the word."""
+    return word.encode("utf-8").decode("latin-1").translate(LETTERS)
+
+
 class MergeList:
     """The merges of a vocabulary, their borders and their lookahead."""
 
@@ -317,8 +322,7 @@ class Encoder:
         if part.isascii() and part.isprintable():
             return _WORDS.findall(part.lower())
         if SIMPLE.fullmatch(part):
-            words = _WORDS.findall(part.lower())
-            return [w.encode().decode("latin-1").translate(LETTERS) for w in words]
+            return [letters_of(word) for word in _WORDS.findall(part.lower())]
         text = self.library.normalizer.normalize_str(part)
         return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 

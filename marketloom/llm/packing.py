@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marketloom.llm.bpe import KEPT_CHARS, SIMPLE, WORDS, Kept, stretches_of
+from marketloom.llm.bpe import KEPT_CHARS, SIMPLE, WORDS, Kept, letters_of, stretches_of
 from marketloom.llm.work import stored
 
 CAPACITY, SEPARATOR = 2048, 0
@@ -41,13 +41,19 @@ class LibraryIds:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words = Kept(self._encode)
+        self.model = self.library.model
+        self.words = Kept(self._word)
         self.stretches = Kept(self._stretch)
 
     def _encode(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a normalised pre-token: the library's model alone, without the steps before."""
+        letters = word if word.isascii() and word.isprintable() else letters_of(word)
+        return np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
+
     def _stretch(self, stretch: str) -> bytes:
         simple = stretch.isascii() or SIMPLE.fullmatch(stretch)
         if not simple or len(stretch) > KEPT_CHARS or any(x in stretch for x in self.special):
