@@ -258,14 +258,14 @@ class Decoder:
 class Kept(dict):
     """Results by key; starts anew when full. Long keys are not kept."""
 
-    def __init__(self, make):
+    def __init__(self, make, room: int = CACHE):
         super().__init__()
-        self.make = make
+        self.make, self.room = make, room
 
     def __missing__(self, key):
         made = self.make(key)
         if len(key) <= KEPT_CHARS:
-            if len(self) >= CACHE:
+            if len(self) >= self.room:
                 self.clear()
             self[key] = made
         return made

@@ -9,6 +9,7 @@ works on counts per length and on bit masks of the lengths that are left.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,10 +28,16 @@ from marketloom.llm.work import stored
 CAPACITY, SEPARATOR = 2048, 0
 #: Pieces that one task packs.
 GROUP = 50_000
+#: Words and stretches whose ids a worker keeps.
+ROOM = 1_200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _WORDS = regex.compile(WORDS)
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class LibraryIds:
     """Ids by the tokenizers library, as bytes, kept per stretch without white space.
 
@@ -42,17 +49,16 @@ class LibraryIds:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model = self.library.model
-        self.words = Kept(self._word)
-        self.stretches = Kept(self._stretch)
+        self.words = Kept(self._word, ROOM)
+        self.stretches = Kept(self._stretch, ROOM)
 
     def _encode(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return _bytes(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         """Ids of a normalised pre-token: the library's model alone, without the steps before."""
         letters = word if word.isascii() and word.isprintable() else letters_of(word)
-        return np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
+        return _bytes([token.id for token in self.model.tokenize(letters)])
 
     def _stretch(self, stretch: str) -> bytes:
         simple = stretch.isascii() or SIMPLE.fullmatch(stretch)
@@ -75,7 +81,7 @@ def pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Each document's ids and a separator, cut only where longer than ``capacity``."""
-    end = np.array([SEPARATOR], "<u4").tobytes()
+    end = _bytes([SEPARATOR])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = library_ids(path)
