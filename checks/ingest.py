@@ -121,6 +121,22 @@ def p8_decimal_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", values.product_text(price, k).alias("product"))
 
 
+@query(
+    "p8_long_products",
+    f"""WITH {EV}, f AS (
+      SELECT event_id, (event_id * 1000003 + 7)::HUGEINT * (10 * ((k + 1) * 998244353::HUGEINT) + 5) AS n FROM ev
+    )
+    SELECT event_id, CAST(n // CAST(10000000000000 AS HUGEINT) AS VARCHAR) || '.' ||
+      lpad(CAST(CAST(n % CAST(10000000000000 AS HUGEINT) AS HUGEINT) AS VARCHAR), 13, '0') AS product FROM f""",
+)
+def p8_long_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factors of up to 13 digits, one with an exponent."""
+    rows = inputs.feed_events(inputs.table(spark, sf_dir, "events"))
+    left = F.concat((F.col("event_id") * 1000003 + 7).cast("string"), F.lit("e-12"))
+    right = F.concat(((F.col("k") + 1) * F.lit(998244353).cast("bigint")).cast("string"), F.lit(".5"))
+    return rows.select("event_id", values.product_text(left, right).alias("product"))
+
+
 @query(
     "p9_key_and_headers",
     f"""WITH {MSG} SELECT event_id, symbol AS key,

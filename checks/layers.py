@@ -186,6 +186,30 @@ def g1_ohlc_1hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.ohlc_bars(inputs.trades(spark, sf_dir), width="1 hour")
 
 
+@query(
+    "g1_ohlc_ties",
+    f"""WITH {TRADES}, tied AS (
+      SELECT symbol, date_trunc('minute', event_time) AS event_time, price, quantity, trade_value,
+        trade_id * 1099511627791 * (CASE WHEN trade_id % 3 = 0 THEN -1 ELSE 1 END) AS trade_id FROM trades
+    )
+    SELECT symbol, {t("time_bucket(INTERVAL '1 hour', event_time)")} AS window_start,
+      {_num('arg_min(price, (event_time, trade_id))')} AS open_price,
+      {_num('arg_max(price, (event_time, trade_id))')} AS close_price, count(*) AS trade_count
+    FROM tied GROUP BY symbol, time_bucket(INTERVAL '1 hour', event_time)""",
+)
+def g1_ohlc_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades of one minute at one instant, told apart by ids beyond 2^40 of either sign."""
+    wide = F.col("trade_id") * 1099511627791
+    tied = inputs.trades(spark, sf_dir).withColumns(
+        {
+            "event_time": F.date_trunc("minute", "event_time"),
+            "trade_id": F.when(F.col("trade_id") % 3 == 0, -wide).otherwise(wide),
+        }
+    )
+    bars = windows.ohlc_bars(tied, width="1 hour")
+    return bars.select("symbol", "window_start", "open_price", "close_price", "trade_count")
+
+
 def five_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.window_measures(inputs.trades(spark, sf_dir))
 

@@ -20,7 +20,7 @@ from checks.layers import (
 from checks.registry import instant_sql as t
 from checks.registry import query
 from checks.sql import ALERT_TYPE, EV, GOLD, LEVEL, MSG
-from marketloom import config
+from marketloom import config, schemas
 from marketloom.functions import signals
 from marketloom.operators import alerts, windows
 from marketloom.operators.spikes import volume_spikes
@@ -48,16 +48,32 @@ def price_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.price_alerts(five_minutes(spark, sf_dir))
 
 
+_GOLD_RUNS: dict[tuple[str, str], str] = {}
+
+
 def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    trades = inputs.trades(spark, sf_dir)
-    measures = windows.window_measures(trades)
+    """The Gold tables as stored by one run over the events, which all queries here share."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GOLD_RUNS:
+        root = inputs.work_dir(spark, "gold")
+        trades = inputs.trades(spark, sf_dir)
+        windows.window_measures(trades).write.parquet(f"{root}/{config.GOLD_WINDOW_MEASURES}")
+        measures = spark.read.parquet(f"{root}/{config.GOLD_WINDOW_MEASURES}")
+        made = {
+            config.GOLD_OHLC: windows.ohlc_bars(trades),
+            config.GOLD_SUMMARY: windows.trade_summary(measures),
+            config.GOLD_VOLATILITY: windows.volatility(measures),
+            config.GOLD_SPIKES: volume_spikes(windows.trade_summary(measures)),
+            config.GOLD_PRICE_ALERTS: windows.price_alerts(measures),
+            config.GOLD_WATCHLIST: windows.watchlist(measures),
+        }
+        for name, table in made.items():
+            table.write.parquet(f"{root}/{name}")
+        _GOLD_RUNS[key] = root
+    root = _GOLD_RUNS[key]
     return {
-        config.GOLD_OHLC: windows.ohlc_bars(trades),
-        config.GOLD_SUMMARY: windows.trade_summary(measures),
-        config.GOLD_VOLATILITY: windows.volatility(measures),
-        config.GOLD_SPIKES: volume_spikes(windows.trade_summary(measures)),
-        config.GOLD_PRICE_ALERTS: windows.price_alerts(measures),
-        config.GOLD_WATCHLIST: windows.watchlist(measures),
+        name: spark.read.schema(schemas.TABLE_SCHEMAS[name]).parquet(f"{root}/{name}")
+        for name in config.GOLD_TABLES
     }
 
 
@@ -187,7 +203,7 @@ ev_all AS (SELECT m.symbol, m.we, pct, ratio, strength, m.volume FROM m
         AS attention_score FROM ev_all""",
 )
 def q5_attention_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = serving.rank_by_attention(_every_window(spark, sf_dir))
+    rows = serving.rate_attention(_every_window(spark, sf_dir))
     return rows.select("symbol", "last_updated_time", "attention_score")
 
 
@@ -347,12 +363,10 @@ def q14_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "q15_overview",
     f"""WITH {SNAPSHOT},
-    s50 AS (SELECT * FROM snap ORDER BY score DESC, volume_5m DESC, symbol LIMIT 50),
-    sp50 AS (SELECT * FROM sp ORDER BY we DESC, ratio DESC, symbol LIMIT 50),
-    al50 AS (SELECT * FROM m WHERE abs(pct) >= 1.5 ORDER BY we DESC, abs(pct) DESC, symbol LIMIT 50)
+    s50 AS (SELECT * FROM snap ORDER BY score DESC, volume_5m DESC, symbol LIMIT 50)
     SELECT (SELECT count(DISTINCT symbol) FROM s50) AS symbols,
-      (SELECT count(*) FROM sp50 WHERE strength = 'HIGH') AS high_volume_spikes,
-      (SELECT count(*) FROM al50) AS price_alerts,
+      (SELECT count(*) FROM sp WHERE strength = 'HIGH' AND we >= {START_SQL}) AS high_volume_spikes,
+      (SELECT count(*) FROM m WHERE abs(pct) >= 1.5 AND we >= {START_SQL}) AS price_alerts,
       {_num('(SELECT coalesce(max(ratio), 0) FROM s50)')} AS strongest_spike,
       {_num('(SELECT coalesce(max(abs(pct)), 0) FROM s50)')} AS biggest_abs_move,
       {t('(SELECT max(we) FROM m)')} AS latest_gold_time,
@@ -360,11 +374,12 @@ def q14_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
         AS freshness""",
 )
 def q15_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over all rows of the range, not only over the rows that a view shows."""
     tables = gold_tables(spark, sf_dir)
     return serving.overview(
         serving.market_snapshot(tables[config.GOLD_WATCHLIST], tables[config.GOLD_SPIKES]),
-        serving.newest_spikes(tables[config.GOLD_SPIKES]),
-        serving.newest_price_alerts(tables[config.GOLD_PRICE_ALERTS]),
+        ranges.since(tables[config.GOLD_SPIKES], "window_end", START),
+        ranges.since(tables[config.GOLD_PRICE_ALERTS], "window_end", START),
         serving.table_health(tables),
         now=ranges.instant_literal(datetime(2024, 1, 31, 0, 5, tzinfo=timezone.utc)),
     )
@@ -448,10 +463,10 @@ def q18_chart_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     "q19_alert_totals",
     f"""WITH {_ALERTS} SELECT count(*) AS published_alerts, count(DISTINCT symbol) AS symbols_alerted,
       count(*) FILTER (WHERE severity = 'HIGH') AS high_severity, max(created_at) AS latest_alert
-    FROM newest""",
+    FROM msgs WHERE we2 >= {START_SQL}""",
 )
 def q19_alert_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.alert_totals(serving.published_alerts(alert_records(spark, sf_dir)))
+    return serving.alert_totals(serving.alert_rows(alert_records(spark, sf_dir), start=START))
 
 
 @query("q20_symbol_list", f"WITH {GOLD} SELECT DISTINCT symbol FROM m")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from checks.registry import instant_sql as t
-
 EV = """
 ev AS (
   SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS price,
@@ -159,5 +157,3 @@ checked AS (
     END AS errors
   FROM plain
 )"""
-
-__all__ = ["t"]

@@ -219,12 +219,30 @@ def s8_fan_out_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s9_idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch delivered twice is stored once."""
     path = inputs.work_dir(spark, "once")
+    _deliver_twice(spark, sf_dir, path, "summary")
+    return spark.read.parquet(path).select("symbol", "window_start", "total_volume")
+
+
+def _deliver_twice(spark: SparkSession, sf_dir: str, path: str, application: str) -> None:
     summary = windows.trade_summary(windows.window_measures(inputs.trades(spark, sf_dir)))
     first = F.col("symbol").isin("CLICK", "VIEW")
     for batch_id, batch in ((0, summary.where(first)), (1, summary.where(~first))):
         for _ in range(2):
-            sinks.append_batch_once(batch, batch_id, path, application="summary")
-    return spark.read.parquet(path).select("symbol", "window_start", "total_volume")
+            sinks.append_batch_once(batch, batch_id, path, application=application)
+
+
+@query(
+    "s9_two_applications",
+    f"""WITH {GOLD} SELECT a AS application, symbol, {t('ws')} AS window_start,
+      {_num('volume')} AS total_volume FROM m, (VALUES ('one'), ('two/2')) AS v(a)""",
+)
+def s9_two_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two applications append batches of the same numbers to one table."""
+    path = inputs.work_dir(spark, "once")
+    for application in ("one", "two/2"):
+        _deliver_twice(spark, sf_dir, path, application)
+    rows = spark.read.parquet(path)
+    return rows.select("application", "symbol", "window_start", "total_volume")
 
 
 @query(
@@ -253,17 +271,24 @@ def s10_append_and_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "s11_date_partitions",
-    f"""WITH {_ROUTED} SELECT to_topic AS topic, 1 AS dates, count(*) AS rows FROM routed
-    GROUP BY ALL""",
+    f"""WITH {_ROUTED} SELECT to_topic AS topic, CAST(CAST(ts AS DATE) AS VARCHAR) AS process_date,
+      count(*) AS rows FROM routed GROUP BY ALL""",
 )
 def s11_date_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table by its partition columns; a run across midnight has two dates."""
-    settings = all_layers(spark, sf_dir)
-    raw = spark.read.parquet(settings.bronze(config.BRONZE_ALL))
-    return raw.groupBy("topic").agg(
-        F.least(F.count_distinct("process_date").cast("int"), F.lit(1)).alias("dates"),
-        F.count("*").alias("rows"),
+    """Records as if captured on the day of their bus time, counted by partition columns alone."""
+    root = inputs.work_dir(spark, "dates")
+    source = bus.Bus(format="parquet", path=bus_folder(spark, sf_dir, root))
+    records = capture(bus.stream_topics(spark, source, FEED.topics))
+    layers.drain(
+        [
+            sinks.append_stream(
+                records.withColumn("process_date", F.to_date("kafka_timestamp")), f"{root}/raw",
+                checkpoint=f"{root}/checkpoint", name="dated", partition_by=["topic", "process_date"],
+                available_now=True,
+            )
+        ]
     )
+    return spark.read.parquet(f"{root}/raw").groupBy("topic", "process_date").agg(F.count("*").alias("rows"))
 
 
 # --- typed layer as a stream -------------------------------------------------------------
@@ -274,12 +299,14 @@ def s11_date_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {MSG_TRADES} SELECT symbol, trade_id, {t('event_time')} AS event_time FROM trades",
 )
 def t6_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record delivered twice within the watermark delay."""
+    """Every record delivered twice, the second time in a later micro-batch."""
     root = inputs.work_dir(spark, "dedup")
-    settings = settings_in(root)
+    settings = dataclasses.replace(settings_in(root), max_files_per_trigger="1")
     records = inputs.bus_records(spark, sf_dir)
     again = records.withColumn("offset", F.col("offset") + F.lit(1 << 40))
-    records.unionByName(again).write.parquet(f"{root}/bus")
+    for delivery in (records, again):
+        # One file each, so that event times of one delivery are not spread over batches.
+        delivery.coalesce(1).write.mode("append").parquet(f"{root}/bus")
     layers.drain(layers.start_bronze(spark, settings, f"{root}/bus"))
     layers.drain(layers.start_silver(spark, settings))
     rows = tables.read_table(spark, settings.silver(config.SILVER_TRADES), schemas.TRADES)
@@ -373,20 +400,26 @@ def g7_stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "w1_tumbling_windows",
-    f"""WITH {EV} SELECT event_id, {t("time_bucket(INTERVAL '1 minute', ts)")} AS minute_start,
-      {t("time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes'")} AS five_minute_end
-    FROM ev""",
+    f"""WITH {TRADES},
+    w AS (SELECT * FROM (VALUES ('1 minute', INTERVAL '1 minute'), ('5 minutes', INTERVAL '5 minutes'),
+      ('2 hours', INTERVAL '2 hours')) AS v(width, step))
+    SELECT width, symbol, {t("time_bucket(step, event_time)")} AS window_start,
+      {t("time_bucket(step, event_time) + step")} AS window_end, count(*) AS trades
+    FROM trades, w GROUP BY ALL""",
 )
 def w1_tumbling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The window every event falls into."""
-    rows = inputs.feed_events(inputs.table(spark, sf_dir, "events"))
-    five = F.window("at", "5 minutes").alias("five")
-    placed = rows.select("event_id", "at", five)
-    return placed.select(
-        "event_id",
-        F.date_trunc("minute", "at").alias("minute_start"),
-        F.col("five.end").alias("five_minute_end"),
-    )
+    """The windows of the bars and of the shared measures, at several widths."""
+    trades = inputs.trades(spark, sf_dir)
+    counted = [
+        windows.ohlc_bars(trades, width=width).withColumnRenamed("trade_count", "trades")
+        for width in ("1 minute", "2 hours")
+    ]
+    counted.insert(1, windows.window_measures(trades).withColumnRenamed("number_of_trades", "trades"))
+    parts = [
+        rows.select(F.lit(width).alias("width"), "symbol", "window_start", "window_end", "trades")
+        for width, rows in zip(("1 minute", "5 minutes", "2 hours"), counted, strict=True)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(
@@ -528,13 +561,6 @@ def _registered(spark: SparkSession, sf_dir: str) -> str:
     return database
 
 
-@query("q27_table_detail")
-def q27_table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns and physical detail of a registered table."""
-    database = _registered(spark, sf_dir)
-    return inspection.table_detail(spark, f"{database}.{config.GOLD_WATCHLIST}")
-
-
 @query(
     "s14_layer_runs",
     f"""WITH {_STREAM_GOLD}, {_STREAM_COUNTS},

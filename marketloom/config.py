@@ -54,14 +54,23 @@ BRONZE_ALL = "bronze_market_raw_all"
 GOLD_WINDOW_MEASURES = "gold_symbol_5min_measures"
 
 
+def _below(root: str, variable: str, name: str) -> str:
+    if not root:
+        raise ValueError(f"set {variable} to a folder that every executor can reach")
+    return f"{root.rstrip('/')}/{name}"
+
+
 @dataclass(frozen=True)
 class Settings:
-    """Where tables and checkpoints live, and how streams are paced."""
+    """Where tables and checkpoints live, and how streams are paced.
+
+    Folders have no default: one that is relative or local would be another on each executor.
+    """
 
-    bronze_path: str = "./storage/bronze"
-    silver_path: str = "./storage/silver"
-    gold_path: str = "./storage/gold"
-    checkpoint_path: str = "./storage/checkpoints"
+    bronze_path: str = ""
+    silver_path: str = ""
+    gold_path: str = ""
+    checkpoint_path: str = ""
     table_format: str = "parquet"
     bus_format: str = "kafka"
     bus_options: Mapping[str, str] = field(default_factory=dict)
@@ -77,16 +86,16 @@ class Settings:
     feed: Feed = Feed()
 
     def bronze(self, table: str) -> str:
-        return f"{self.bronze_path.rstrip('/')}/{table}"
+        return _below(self.bronze_path, "BRONZE_PATH", table)
 
     def silver(self, table: str) -> str:
-        return f"{self.silver_path.rstrip('/')}/{table}"
+        return _below(self.silver_path, "SILVER_PATH", table)
 
     def gold(self, table: str) -> str:
-        return f"{self.gold_path.rstrip('/')}/{table}"
+        return _below(self.gold_path, "GOLD_PATH", table)
 
     def checkpoint(self, query: str) -> str:
-        return f"{self.checkpoint_path.rstrip('/')}/{query}"
+        return _below(self.checkpoint_path, "CHECKPOINT_ROOT", query)
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], layer: str = "") -> "Settings":
@@ -103,10 +112,10 @@ class Settings:
         )
         servers = env.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
         return cls(
-            bronze_path=env.get("BRONZE_PATH", "./storage/bronze"),
-            silver_path=env.get("SILVER_PATH", "./storage/silver"),
-            gold_path=env.get("GOLD_PATH", "./storage/gold"),
-            checkpoint_path=env.get("CHECKPOINT_ROOT", "./storage/checkpoints"),
+            bronze_path=env.get("BRONZE_PATH", ""),
+            silver_path=env.get("SILVER_PATH", ""),
+            gold_path=env.get("GOLD_PATH", ""),
+            checkpoint_path=env.get("CHECKPOINT_ROOT", ""),
             table_format=env.get("TABLE_FORMAT", "parquet"),
             bus_options={"kafka.bootstrap.servers": servers},
             starting_offsets=env.get("BRONZE_STARTING_OFFSETS", "latest"),

@@ -28,15 +28,22 @@ def number(name: str, value: Column) -> Column:
     return non_empty(name, value).when(~is_number(value), f"{name} is not numeric")
 
 
+def _sign(value: Column) -> Column:
+    """Sign of a number's text, exact however small or large it is."""
+    digits = F.regexp_extract(value, r"^\s*[+-]?([0-9.]*)", 1)
+    zero = ~digits.rlike("[1-9]")
+    return F.when(zero, 0).when(F.ltrim(value).startswith("-"), -1).otherwise(1)
+
+
 def positive(name: str, value: Column) -> Column:
     return number(name, value).when(
-        value.try_cast("double") <= 0, f"{name} must be greater than zero"
+        _sign(value) <= 0, f"{name} must be greater than zero"
     )
 
 
 def not_negative(name: str, value: Column) -> Column:
     return number(name, value).when(
-        value.try_cast("double") < 0, f"{name} must be greater than or equal to zero"
+        _sign(value) < 0, f"{name} must be greater than or equal to zero"
     )
 
 

@@ -22,8 +22,12 @@ VOLATILITY_BONUS = {"HIGH": 2.0, "MEDIUM": 1.0}
 
 
 def percent_change(start: Column, end: Column) -> Column:
-    """Change in percent; null unless the start is positive. Decimals keep four digits."""
-    return F.when(start > 0, (end - start) / start * F.lit(100))
+    """Change in percent; null unless the start is positive, or when it does not fit.
+
+    Decimals keep four digits.
+    """
+    share = F.try_divide(F.try_subtract(end, start), start)
+    return F.when(start > 0, F.try_multiply(share, F.lit(100)))
 
 
 def price_alert_type(change_pct: Column) -> Column:

@@ -84,27 +84,82 @@ def strict_json(text: Column) -> Column:
     return unsealed(sealed_json(text), text)
 
 
-def _fraction_digits(text: Column) -> Column:
-    point = F.instr(text, ".")
-    return F.when(point == 0, 0).otherwise(F.length(text) - point)
+# Significant digits of a product, and the largest exponent written out.
+PRODUCT_DIGITS = 28
+PRODUCT_EXPONENT = 1000
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _number_parts(text: Column) -> Column:
+    """Sign, digits without leading zeros, and the power of ten of a decimal text."""
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, r"^\s*([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\s*$", group)
+
+    power = F.when(part(4) == "", 0).otherwise(part(4).try_cast("int"))
+    return F.struct(
+        (part(1) == "-").alias("minus"), F.ltrim(F.concat(part(2), part(3)), F.lit("0")).alias("digits"),
+        (power - F.length(part(3))).alias("power"),
+    )
 
 
 def product_text(left: Column, right: Column) -> Column:
     """Product of two decimal texts in plain notation.
 
-    Exact, and with as many fraction digits as both factors have together, while each
-    factor has at most 10 integer and 8 fraction digits, which is what exchanges quote.
-    Longer factors are multiplied as decimal(38,18), which keeps 6 fraction digits.
+    The digits are multiplied as integers and the point is placed afterwards, so the product is
+    exact, with as many fraction digits as both factors have together; beyond 28 significant
+    digits it is rounded half to even, as decimal arithmetic of that precision does. Null when
+    the factors have more than 38 digits together, or an exponent is out of proportion.
     """
-    digits = _fraction_digits(left) + _fraction_digits(right)
-    plain = ~F.concat(left, right).rlike("[eE]")
-    short = (_fraction_digits(left) <= 8) & (_fraction_digits(right) <= 8) & plain
-    exact = (left.try_cast("decimal(18,8)") * right.try_cast("decimal(18,8)")).cast("string")
-    # The exact product carries 16 fraction digits: cut the surplus zeros (and a bare point).
-    surplus = F.lit(16) - digits + F.when(digits == 0, 1).otherwise(0)
-    trimmed = F.substring(exact, F.lit(1), F.length(exact) - surplus)
-    wide = F.try_multiply(to_money(left), to_money(right)).cast("string")
-    return F.when(short, F.coalesce(trimmed, wide)).otherwise(wide)
+    factors = F.struct(_number_parts(left).alias("a"), _number_parts(right).alias("b"))
+    numbers = left.rlike(NUMBER_PATTERN) & right.rlike(NUMBER_PATTERN)
+    return F.when(numbers, _let(_let(_let(factors, _multiplied), _rounded), _plain))
+
+
+def _multiplied(factors: Column) -> Column:
+    a, b = factors["a"]["digits"], factors["b"]["digits"]
+    product = F.try_multiply(_whole(a), _whole(b)).cast("string")
+    return F.struct(
+        (factors["a"]["minus"] != factors["b"]["minus"]).alias("minus"),
+        F.when(F.length(a) + F.length(b) <= 38, product).alias("digits"),
+        (factors["a"]["power"] + factors["b"]["power"]).alias("power"),
+    )
+
+
+def _rounded(number: Column) -> Column:
+    """At most 28 digits, half to even."""
+    digits, power = number["digits"], number["power"]
+    extra = F.length(digits) - PRODUCT_DIGITS
+    head, tail = F.substring(digits, 1, PRODUCT_DIGITS), F.substring(digits, PRODUCT_DIGITS + 1, 38)
+    half = F.rpad(F.lit("5"), extra, F.lit("0"))
+    odd = F.substring(head, -1, 1).isin("1", "3", "5", "7", "9")
+    up = (tail > half) | ((tail == half) & odd)
+    shorter = (_whole(head) + F.when(up, 1).otherwise(0)).cast("string")
+    # Rounding up can carry into one more digit, which is then a zero.
+    carried = F.length(shorter) - PRODUCT_DIGITS
+    return F.struct(
+        number["minus"].alias("minus"),
+        F.when(extra > 0, F.substring(shorter, 1, PRODUCT_DIGITS)).otherwise(digits).alias("digits"),
+        F.when(extra > 0, power + extra + carried).otherwise(power).alias("power"),
+    )
+
+
+def _plain(number: Column) -> Column:
+    digits, power = number["digits"], number["power"]
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(1) - power), F.lit("0"))
+    point = F.length(padded) + power
+    fraction = F.concat(F.substring(padded, F.lit(1), point), F.lit("."), F.substring(padded, point + 1, -power))
+    text = F.when(power < 0, fraction).when(digits == "0", digits).otherwise(F.rpad(digits, F.length(digits) + power, F.lit("0")))
+    minus = F.when(number["minus"], "-").otherwise("")
+    return F.when(F.abs(power) <= PRODUCT_EXPONENT, F.concat(minus, text))
+
+
+def _whole(digits: Column) -> Column:
+    return F.when(digits == "", F.lit(0).cast("decimal(38,0)")).otherwise(digits.try_cast("decimal(38,0)"))
 
 
 def window_micros(width: str) -> int:
@@ -121,18 +176,13 @@ def window_micros(width: str) -> int:
     return int(amount) * per_unit[unit.rstrip("s")]
 
 
-def moment_key(event_time: Column, trade_id: Column, width: str) -> Column:
-    """Order trades inside one epoch-aligned window by time, then by trade id.
+def moment_key(event_time: Column, trade_id: Column) -> Column:
+    """Order trades by time, then by trade id.
 
-    The key is one bigint: microseconds into the window, then the low bits of the id.
-    A fixed-width key keeps ``min_by``/``max_by`` in a hash aggregate, where a struct or
-    a wide decimal key costs a sort or big-integer arithmetic per row. Time order is
-    always exact; the id only decides between trades of the same microsecond.
+    One decimal: microseconds, then the id moved to the positive numbers of twenty digits. It
+    is exact for any time and id, and keeps ``min_by``/``max_by`` in a hash aggregate, where a
+    struct key would mean a sort.
     """
-    micros = window_micros(width)
-    id_bits = 63 - micros.bit_length()
-    if id_bits < 24:
-        return F.struct(event_time, trade_id)
-    offset = F.pmod(F.unix_micros(event_time), F.lit(micros))
-    low_id = F.coalesce(trade_id, F.lit(0)).bitwiseAND(F.lit((1 << id_bits) - 1))
-    return F.shiftleft(offset, id_bits) + low_id
+    micros = F.unix_micros(event_time).cast("decimal(18,0)")
+    shifted = F.coalesce(trade_id, F.lit(0)).cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(19,0)")
+    return (micros * F.lit("1" + "0" * 20).cast("decimal(21,0)") + shifted).cast("decimal(38,0)")

@@ -98,14 +98,3 @@ def route(
 def dead_letter_metrics(failures: DataFrame) -> DataFrame:
     """Failed messages per error type and source topic."""
     return failures.groupBy("error_type", "source_topic").agg(F.count("*").alias("messages"))
-
-
-__all__ = [
-    "dead_letter_metrics",
-    "dead_letter_records",
-    "infer_source_topic",
-    "infer_symbol",
-    "invalid_events",
-    "route",
-    "valid_events",
-]

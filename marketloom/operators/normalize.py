@@ -216,6 +216,13 @@ def _open_rules(checks):
     return tuple(check for check in checks if check[1] is not rules.instant)
 
 
+def _trade_errors(trade: dict[str, Column]) -> Column:
+    """Broken rules; a trade that breaks none may still have a value that cannot be written."""
+    errors = rules.error_text(_open_rules(rules.TRADE_RULES), trade)
+    too_long = (errors == "") & trade["trade_value"].isNull()
+    return F.when(too_long, "trade_value has too many digits").otherwise(errors)
+
+
 def _event_json(
     feed: Feed, event_type: str, schema: StructType, stamp: Column, columns: dict[str, Column]
 ) -> Column:
@@ -297,12 +304,15 @@ def normalize(
     carried.append("_bad")
 
     trade = _columns("trade", TRADE_FIELDS)
-    trade["trade_value"] = product_text(trade["price"], trade["quantity"])
+    value_of_trade = F.when(vendor == "trade", product_text(trade["price"], trade["quantity"]))
+    rows = computed_once(rows, F.struct(value_of_trade.alias("_trade_value")), *carried)
+    carried.append("_trade_value")
+    trade["trade_value"] = F.col("_trade_value")
     kline = {**_columns("kline", KLINE_FIELDS), **_columns("bar", KLINE_BAR_FIELDS)}
     ticker = _columns("ticker", TICKER_FIELDS)
     rule_errors = (
         F.when(F.col("_bad").isNotNull(), "")
-        .when(vendor == "trade", rules.error_text(_open_rules(rules.TRADE_RULES), trade))
+        .when(vendor == "trade", _trade_errors(trade))
         .when(vendor == "kline", rules.error_text(_open_rules(rules.KLINE_RULES), kline))
         .when(vendor == "24hrTicker", rules.error_text(_open_rules(rules.TICKER_RULES), ticker))
     )

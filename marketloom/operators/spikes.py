@@ -69,11 +69,11 @@ def volume_spikes(
 
     before = Window.partitionBy("symbol", "slice").orderBy("at").rangeBetween(-lookback, -1)
     past_volume = F.when(~F.col("is_current"), F.col("total_volume"))
-    based = placed.withColumn("baseline_volume", F.avg(past_volume).over(before)).where(
+    based = placed.withColumn("baseline_volume", F.try_avg(past_volume).over(before)).where(
         F.col("is_current") & (F.col("baseline_volume") > 0)
     )
     rated = based.withColumn(
-        "volume_spike_ratio", F.col("total_volume") / F.col("baseline_volume")
+        "volume_spike_ratio", F.try_divide("total_volume", "baseline_volume")
     )
     return rated.select(
         "symbol",

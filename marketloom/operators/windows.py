@@ -2,7 +2,8 @@
 
 Four five-minute tables share one grouping key, so all their measures come from a single
 aggregate: one scan, one shuffle, one state store. Used on its own, each table lets
-Catalyst drop the measures it does not read.
+Catalyst drop the measures it does not read. A sum or change that does not fit its type is
+null for its symbol and window; it does not end the job.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from marketloom.functions.values import moment_key
 from marketloom.operators.rows import watermarked
 
 
-def _keyed(trades: DataFrame, width: str, watermark_delay: str | None) -> DataFrame:
+def _keyed(trades: DataFrame, watermark_delay: str | None) -> DataFrame:
     trade_id = F.col("trade_id") if "trade_id" in trades.columns else F.lit(0).cast("bigint")
     rows = watermarked(trades, "event_time", watermark_delay)
-    return rows.withColumn("_moment", moment_key(F.col("event_time"), trade_id, width))
+    return rows.withColumn("_moment", moment_key(F.col("event_time"), trade_id))
 
 
 def _flattened(grouped: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def ohlc_bars(
 ) -> DataFrame:
     """Open, high, low, close, count and totals per symbol and window."""
     grouped = (
-        _keyed(trades, width, watermark_delay)
+        _keyed(trades, watermark_delay)
         .groupBy("symbol", F.window("event_time", width).alias("_window"))
         .agg(
             F.min_by("price", "_moment").alias("open_price"),
@@ -44,8 +45,8 @@ def ohlc_bars(
             F.min("price").alias("low_price"),
             F.max_by("price", "_moment").alias("close_price"),
             F.count("*").alias("trade_count"),
-            F.sum("quantity").alias("total_quantity"),
-            F.sum("trade_value").alias("total_trade_value"),
+            F.try_sum("quantity").alias("total_quantity"),
+            F.try_sum("trade_value").alias("total_trade_value"),
         )
     )
     return _flattened(grouped)
@@ -56,18 +57,18 @@ def window_measures(
 ) -> DataFrame:
     """Every measure the five-minute tables need, per symbol and window."""
     grouped = (
-        _keyed(trades, width, watermark_delay)
+        _keyed(trades, watermark_delay)
         .groupBy("symbol", F.window("event_time", width).alias("_window"))
         .agg(
             F.min_by("price", "_moment").alias("start_price"),
             F.max_by("price", "_moment").alias("end_price"),
             F.min("price").alias("min_price"),
             F.max("price").alias("max_price"),
-            F.avg("price").alias("avg_price"),
+            F.try_avg("price").alias("avg_price"),
             F.stddev_pop("price").alias("price_stddev"),
             F.count("*").alias("number_of_trades"),
-            F.sum("quantity").alias("total_volume"),
-            F.avg("trade_value").alias("average_trade_value"),
+            F.try_sum("quantity").alias("total_volume"),
+            F.try_avg("trade_value").alias("average_trade_value"),
             F.max("trade_value").alias("max_trade_value"),
             F.min("trade_value").alias("min_trade_value"),
         )

@@ -57,13 +57,15 @@ def newest_price_alert_rows(alerts: DataFrame, limit: int = INSPECTION_ROWS) ->
 
 
 def table_inventory(
-    tables: Mapping[str, DataFrame | None], paths: Mapping[str, str] | None = None
+    tables: Mapping[str, DataFrame | None],
+    paths: Mapping[str, str] | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """Per table: whether it exists, its rows and its number of columns, by name.
 
-    ``paths`` adds where each table is stored.
+    ``paths`` adds where each table is stored. ``spark`` defaults to the active session.
     """
-    spark = next(table for table in tables.values() if table is not None).sparkSession
+    spark = spark or SparkSession.active()
     rows = []
     for name, table in tables.items():
         counted = (

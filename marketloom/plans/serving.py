@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom import schemas
@@ -56,9 +56,9 @@ def _by_attention() -> list[Column]:
     return [F.col("attention_score").desc(), F.col("volume_5m").desc(), F.col("symbol").asc()]
 
 
-def rank_by_attention(rows: DataFrame) -> DataFrame:
-    """Add score, direction and reason, most deserving of attention first."""
-    return _attention(rows).orderBy(*_by_attention())
+def rate_attention(rows: DataFrame) -> DataFrame:
+    """Add score, direction and reason."""
+    return _attention(rows)
 
 
 def market_snapshot(
@@ -105,7 +105,7 @@ def market_snapshot(
         "signal_strength",
         "last_updated_time",
     )
-    return rank_by_attention(joined.select(*columns)).limit(limit)
+    return rate_attention(joined.select(*columns)).orderBy(*_by_attention()).limit(limit)
 
 
 def symbol_state(snapshot: DataFrame, symbol: str) -> DataFrame:
@@ -213,9 +213,9 @@ def _time_column(rows: DataFrame) -> str | None:
     return next((name for name in TIME_COLUMNS if name in rows.columns), None)
 
 
-def _health_row(name: str, table: DataFrame | None, start: datetime | None, any_table: DataFrame):
+def _health_row(name: str, table: DataFrame | None, start: datetime | None, spark: SparkSession):
     if table is None:
-        return any_table.sparkSession.range(1).select(
+        return spark.range(1).select(
             F.lit(name).alias("table"),
             F.lit(False).alias("table_exists"),
             F.lit(0).cast("bigint").alias("row_count"),
@@ -248,13 +248,15 @@ def table_health(
     *,
     start: datetime | None = None,
     paths: Mapping[str, str] | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """Per table: whether it exists, rows in range, all rows, newest time. One pass each.
 
-    ``paths`` adds where each table is stored.
+    ``paths`` adds where each table is stored. ``spark`` defaults to the active session, which
+    a fresh deployment without any table needs.
     """
-    present = next(table for table in tables.values() if table is not None)
-    rows = [_health_row(name, table, start, present) for name, table in tables.items()]
+    session = spark or SparkSession.active()
+    rows = [_health_row(name, table, start, session) for name, table in tables.items()]
     if paths:
         rows = [
             row.withColumn("path", F.lit(paths[name])) for name, row in zip(tables, rows)
@@ -274,7 +276,7 @@ def overview(
     *,
     now: Column,
 ) -> DataFrame:
-    """Headline numbers over the given (already limited) frames, as one row.
+    """Headline numbers over the given frames, as one row.
 
     Each frame is reduced to a partial row with the same columns; the partial rows are
     united and folded, which needs no join.
@@ -309,10 +311,13 @@ def overview(
 # --- published alerts --------------------------------------------------------------------
 
 
-def published_alerts(
-    records: DataFrame, *, limit: int = VIEW_ROWS, start: datetime | None = None
-) -> DataFrame:
-    """The newest alert messages of a topic, with the JSON fields as columns."""
+def alert_rows(records: DataFrame, *, start: datetime | None = None) -> DataFrame:
+    """All alert messages created since ``start``, with the JSON fields as columns.
+
+    An alert is sent after it was created, so records from before the start are left out
+    before their JSON is parsed.
+    """
+    records = since(records, "timestamp", start)
     parsed = records.select(
         "topic",
         "partition",
@@ -324,6 +329,14 @@ def published_alerts(
     if start is not None:
         parsed = parsed.withColumn("_created", F.try_to_timestamp("created_at"))
         parsed = since(parsed, "_created", start).drop("_created")
+    return parsed
+
+
+def published_alerts(
+    records: DataFrame, *, limit: int = VIEW_ROWS, start: datetime | None = None
+) -> DataFrame:
+    """The newest alert messages of a topic, with the JSON fields as columns."""
+    parsed = alert_rows(records, start=start)
     newest = F.col("kafka_timestamp").desc(), F.col("offset").desc(), F.col("partition")
     return parsed.orderBy(*newest).limit(limit)
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from marketloom import schemas
+from marketloom.plans.ranges import since
 from marketloom.sources.sinks import paced
 
 
@@ -35,37 +36,62 @@ class Bus:
     max_files_per_trigger: str | None = None
 
 
+def stream_options(bus: Bus, topics: Sequence[str]) -> dict[str, str]:
+    """Options of a subscription: Kafka's own, or how many files a batch takes."""
+    options = dict(bus.options)
+    if bus.format != "kafka":
+        return options | ({"maxFilesPerTrigger": bus.max_files_per_trigger} if bus.max_files_per_trigger else {})
+    options |= {
+        "subscribe": ",".join(topics),
+        "startingOffsets": bus.starting_offsets,
+        "failOnDataLoss": bus.fail_on_data_loss,
+    }
+    return options | ({"maxOffsetsPerTrigger": bus.max_offsets_per_trigger} if bus.max_offsets_per_trigger else {})
+
+
+def read_options(bus: Bus, topic: str, start: datetime | None = None) -> dict[str, str]:
+    """Options of a bounded read, from ``start`` if given; records before it are not fetched."""
+    options = dict(bus.options)
+    if bus.format != "kafka":
+        return options
+    options |= {"subscribe": topic, "endingOffsets": "latest"}
+    if start is None:
+        return options | {"startingOffsets": "earliest"}
+    return options | {
+        "startingTimestamp": str(_millis(start)),
+        "startingOffsetsByTimestampStrategy": "latest",
+    }
+
+
+def _millis(moment: datetime) -> int:
+    aware = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+    return int(aware.timestamp() * 1000)
+
+
 def stream_topics(spark: SparkSession, bus: Bus, topics: Sequence[str]) -> DataFrame:
     """One subscription to one or several topics."""
-    reader = spark.readStream.format(bus.format).options(**bus.options)
+    reader = spark.readStream.format(bus.format).options(**stream_options(bus, topics))
     if bus.format == "kafka":
-        reader = (
-            reader.option("subscribe", ",".join(topics))
-            .option("startingOffsets", bus.starting_offsets)
-            .option("failOnDataLoss", bus.fail_on_data_loss)
-        )
-        if bus.max_offsets_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", bus.max_offsets_per_trigger)
         return reader.load()
-    if bus.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", bus.max_files_per_trigger)
     return reader.schema(bus.schema).load(bus.path).where(F.col("topic").isin(*topics))
 
 
-def read_topic(spark: SparkSession, bus: Bus, topic: str) -> DataFrame:
-    """Everything a topic holds now; empty when the bus cannot be reached or is not there."""
+def read_topic(spark: SparkSession, bus: Bus, topic: str, start: datetime | None = None) -> DataFrame:
+    """What a topic holds now, since ``start`` if given; empty when a file bus is not there yet.
+
+    The start goes to the source: Kafka seeks to it, files are skipped by their statistics. A
+    format that does not exist, a missing connector or an unreachable broker is an error.
+    """
+    reader = spark.read.format(bus.format).options(**read_options(bus, topic, start))
+    if bus.format == "kafka":
+        return reader.load()
     try:
-        reader = spark.read.format(bus.format).options(**bus.options)
-        if bus.format == "kafka":
-            return (
-                reader.option("subscribe", topic)
-                .option("startingOffsets", "earliest")
-                .option("endingOffsets", "latest")
-                .load()
-            )
-        return reader.schema(bus.schema).load(bus.path).where(F.col("topic") == topic)
-    except (AnalysisException, Py4JJavaError):
-        return spark.createDataFrame([], schemas.BUS_RECORD)
+        rows = reader.schema(bus.schema).load(bus.path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], bus.schema)
+    return since(rows.where(F.col("topic") == topic), "timestamp", start)
 
 
 def publish(

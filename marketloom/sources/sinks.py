@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -48,10 +50,11 @@ def append_batch_once(
 ) -> bool:
     """Append one micro-batch of a ``foreachBatch`` query; a replay of it adds nothing.
 
-    With Delta the transaction id does that. With files the batch is written to a hidden
-    folder and renamed to its own ``batch_id`` partition, and a partition that is already
-    there is left alone, so a reader never meets a half-written or rewritten batch.
-    Returns whether the batch was written.
+    ``application`` names the query and its checkpoint, since batch numbers start anew with
+    either. With Delta the transaction id does that. With files the batch is written to a hidden
+    folder and renamed to its own partition ``application=<a>/batch_id=<n>``, and a partition
+    that is already there is left alone, so a reader never meets a half-written or rewritten
+    batch. ``without_batch`` reads such a table. Returns whether the batch was written.
     """
     if table_format == "delta":
         (
@@ -63,10 +66,21 @@ def append_batch_once(
         )
         return True
     spark = batch.sparkSession
-    target = f"{path.rstrip('/')}/batch_id={batch_id}"
+    name = quote(application, safe="")
+    target = f"{path.rstrip('/')}/application={name}/batch_id={batch_id}"
     if path_exists(spark, target):
         return False
-    pending = f"{path.rstrip('/')}/_pending_{application}_{batch_id}"
+    pending = f"{path.rstrip('/')}/_pending_{name}_{batch_id}"
     batch.write.format(table_format).mode("overwrite").save(pending)
     move_into_place(spark, pending, target)
     return True
+
+
+def application_id(name: str, checkpoint: str) -> str:
+    """A query and its checkpoint as one name: a fresh checkpoint starts batches at zero."""
+    return f"{name}-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+
+
+def without_batch(table: DataFrame) -> DataFrame:
+    """A table written by ``append_batch_once`` without the columns of its partitions."""
+    return table.drop("application", "batch_id")

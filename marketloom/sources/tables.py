@@ -78,19 +78,6 @@ def stream_table(
     return reader.load(path)
 
 
-def spread_small(rows: DataFrame) -> DataFrame:
-    """Spread a table that is read by fewer tasks than there are cores.
-
-    Costly work per row, such as parsing messages, would otherwise run on the few cores
-    that got a file. Only small tables have so few input partitions; a large one is
-    returned as it is and pays no shuffle. Looks at the plan, runs nothing.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
-
-
 def ensure_table(
     spark: SparkSession, path: str, schema: StructType, *, table_format: str = "parquet"
 ) -> bool:

@@ -18,7 +18,7 @@ from marketloom.config import Settings
 from marketloom.operators import alerts, refine, spikes, windows
 from marketloom.operators.capture import capture
 from marketloom.sources.bus import Bus, publish, stream_topics
-from marketloom.sources.sinks import append_batch_once, append_stream, paced
+from marketloom.sources.sinks import append_batch_once, append_stream, application_id, paced
 from marketloom.sources.tables import ensure_table, read_table_or_empty, stream_table
 
 Starter = Callable[[SparkSession, Settings], list[StreamingQuery]]
@@ -182,6 +182,13 @@ def start_window_tables(spark: SparkSession, settings: Settings) -> list[Streami
     ]
 
 
+def _application(spark: SparkSession, settings: Settings) -> str:
+    """The running query by its id, which a fresh checkpoint changes, else by its checkpoint."""
+    name = "gold-volume-spike-signals"
+    query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}-{query_id}" if query_id else application_id(name, settings.checkpoint("gold/volume_spikes"))
+
+
 def _write_spikes(batch: DataFrame, batch_id: int, settings: Settings) -> None:
     spark = batch.sparkSession
     summary = read_table_or_empty(
@@ -196,7 +203,7 @@ def _write_spikes(batch: DataFrame, batch_id: int, settings: Settings) -> None:
         spikes.volume_spikes(batch, history, lookback_minutes=lookback),
         batch_id,
         settings.gold(config.GOLD_SPIKES),
-        application="gold-volume-spike-signals",
+        application=_application(spark, settings),
         table_format=settings.table_format,
     )
 

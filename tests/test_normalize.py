@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import json
 
+import random
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,14 +104,43 @@ def test_errors_and_their_precedence(outcomes, position):
     [
         ("0.001", "100", "0.100"), ("62500.12", "0.005", "312.50060"), ("3", "4", "12"),
         ("-1.5", "2", "-3.0"), ("0.00000001", "0.00000001", "0.0000000000000001"),
-        ("123456789012.5", "3", "370370367037.500000"), ("1e3", "2", "2000.000000"),
+        ("123456789012.5", "3", "370370367037.5"), ("1e3", "2", "2000"), ("1e2", "1e-1", "10"),
+        ("0.000000001", "0.5", "0.0000000005"), ("1e-5", "1e-3", "0.00000001"), ("0.1234567890", "1", "0.1234567890"),
+        ("123456789012345678901", "2", "246913578024691357802"), ("0.00", "5", "0.00"), ("0e5", "1", "0"),
+        ("-0", "1.0", "-0.0"), (" +1.50 ", ".5", "0.750"), ("5.", "2", "10"), ("1e-400", "1", None),
+        ("99999999999999.99999", "99999999999999.99999", None), ("1e99999999999", "1", None), ("nan", "1", None),
     ],
 )
 def test_product_keeps_all_fraction_digits(spark, left, right, product):
+    if left == "1e-400":
+        product = "0." + "0" * 399 + "1"
+    if left.startswith("99999"):
+        product = format(Decimal(left) * Decimal(right), "f")
     row = spark.createDataFrame([(left, right)], "l STRING, r STRING")
     assert row.select(product_text(F.col("l"), F.col("r"))).first()[0] == product
 
 
+def test_products_are_those_of_decimal_arithmetic(spark):
+    random.seed(1)
+
+    def number():
+        digits = "".join(random.choices("0123456789", k=random.randint(1, 19)))
+        point = random.randint(0, len(digits))
+        return digits[:point] + "." + digits[point:] + random.choice(["", "", "e3", "E-7", "e+12"])
+
+    rows = [(number(), number()) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "l STRING, r STRING")
+    found = frame.select("l", "r", product_text(F.col("l"), F.col("r")).alias("p")).collect()
+    assert [(r.l, r.r, r.p) for r in found] == [(a, b, format(Decimal(a) * Decimal(b), "f")) for a, b in rows]
+
+
+def test_a_product_that_cannot_be_written_is_an_error(spark):
+    frame = messages(spark, trade_message(p="1" * 30, q="2" * 12), trade_message(p="1e-400", q="1"))
+    rows = normalize(frame, keep=("id",)).orderBy("id").collect()
+    assert (rows[0].error_type, rows[0].error_message) == ("VALIDATION_ERROR", "trade_value has too many digits")
+    assert rows[1].error_type is None
+
+
 def test_every_message_has_exactly_one_outcome(spark):
     frame = messages(spark, trade_message(), "{", kline_message(), '{"e":"x"}', ticker_message())
     rows = normalize(frame, keep=("id",))

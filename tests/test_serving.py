@@ -32,19 +32,13 @@ def test_relative_ranges():
 def test_column_form_agrees(spark, zone):
     moments = [NOW, datetime(2024, 3, 12, 3, 30, tzinfo=timezone.utc)]
     frame = spark.createDataFrame([(m,) for m in moments], "now TIMESTAMP")
-    for key in ranges.RANGE_LABELS:
+    for key in ranges.RANGE_DAYS:
         got = frame.select(ranges.range_start_column(key, F.col("now"), zone)).collect()
         for moment, row in zip(moments, got):
             expected = ranges.range_start(key, moment, zone)
             assert row[0] == (expected and expected.replace(tzinfo=None))
 
 
-def test_captions():
-    assert ranges.range_caption("all", None) == "All: all available history"
-    start = ranges.range_start("today", NOW)
-    assert ranges.range_caption("today", start) == "Today: data from 2024-05-03 00:00 IST"
-
-
 def test_since_without_start_or_column(spark):
     frame = spark.range(3)
     assert ranges.since(frame, "window_end", NOW) is frame
@@ -205,3 +199,13 @@ def test_inventory_and_sample(spark):
     ]
     assert [r.id for r in inspection.table_sample(frame, 2, "id").collect()] == [4, 3]
     assert inspection.table_sample(frame, 2, "other").count() == 2
+
+
+def test_nothing_is_stored_yet(spark):
+    missing = {"one": None, "two": None}
+    health = serving.table_health(missing, start=NOW).collect()
+    assert [(r.table, r.table_exists, r.row_count, r.latest_time) for r in health] == [
+        ("one", False, 0, None), ("two", False, 0, None),
+    ]
+    inventory = inspection.table_inventory(missing).collect()
+    assert [(r.table, r.table_exists, r.rows) for r in inventory] == [("one", False, 0), ("two", False, 0)]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 import pytest
 
 from marketloom import config, schemas
@@ -47,10 +49,72 @@ def test_unfinished_batch_is_invisible_and_redone(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_unreachable_bus_reads_as_empty(spark, tmp_path):
-    for source in (bus.Bus(), bus.Bus(format="parquet", path=str(tmp_path / "none"))):
-        rows = bus.read_topic(spark, source, "topic")
-        assert (rows.count(), rows.schema) == (0, schemas.BUS_RECORD)
+def test_two_applications_and_checkpoints_share_a_table(spark, tmp_path):
+    path = str(tmp_path / "out")
+    frame = summary(spark, ROW)
+    one, two = (sinks.application_id("a", folder) for folder in ("/c/1", "/c/2"))
+    assert one != two
+    assert all(sinks.append_batch_once(frame, 0, path, application=x) for x in ("a", "b/c", one, two))
+    assert not sinks.append_batch_once(frame, 0, path, application="b/c")
+    rows = spark.read.parquet(path)
+    assert sorted(r.application for r in rows.collect()) == sorted(["a", "b/c", one, two])
+    assert sinks.without_batch(rows).columns == frame.columns
+
+
+def test_a_bus_that_is_not_there_reads_as_empty(spark, tmp_path):
+    rows = bus.read_topic(spark, bus.Bus(format="parquet", path=str(tmp_path / "none")), "topic")
+    assert (rows.count(), rows.schema) == (0, schemas.BUS_RECORD)
+
+
+@pytest.mark.parametrize("name", ["prquet", "kafka"])
+def test_a_missing_data_source_is_an_error(spark, tmp_path, name):
+    with pytest.raises(Exception, match="(?i)" + name):
+        bus.read_topic(spark, bus.Bus(format=name, path=str(tmp_path)), "topic")
+
+
+def test_a_bounded_read_filters_in_the_scan(spark, tmp_path):
+    start = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    times = [start - timedelta(hours=1), start, start + timedelta(hours=1)]
+    rows = [("t", 0, i, b"k", b"v", at) for i, at in enumerate(times)] + [("other", 0, 9, b"k", b"v", times[2])]
+    columns = "topic string, partition int, offset long, key binary, value binary, timestamp timestamp"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "bus"))
+    read = bus.read_topic(spark, bus.Bus(format="parquet", path=str(tmp_path / "bus")), "t", start)
+    assert sorted(r.offset for r in read.collect()) == [1, 2]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp" in plan.split("PushedFilters")[1]
+
+
+def test_kafka_options():
+    source = bus.Bus(options={"kafka.bootstrap.servers": "h:1"}, max_offsets_per_trigger="5")
+    assert bus.stream_options(source, ["a", "b"]) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "latest",
+        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5",
+    }
+    assert bus.read_options(source, "a") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "a", "startingOffsets": "earliest", "endingOffsets": "latest",
+    }
+    bounded = bus.read_options(source, "a", datetime(1970, 1, 2))
+    assert bounded["startingTimestamp"] == "86400000" and "startingOffsets" not in bounded
+    files = bus.Bus(format="parquet", max_files_per_trigger="2")
+    assert bus.stream_options(files, ["a"]) == {"maxFilesPerTrigger": "2"}
+
+
+def test_an_interval_trigger_runs(spark, tmp_path):
+    path = str(tmp_path / "in")
+    summary(spark, ROW).write.parquet(path)
+    rows = tables.stream_table(spark, path, schemas.TRADE_SUMMARY)
+    query = sinks.append_stream(
+        rows, str(tmp_path / "out"), checkpoint=str(tmp_path / "checkpoint"), name="paced", interval="1 second"
+    )
+    try:
+        for _ in range(60):
+            if query.lastProgress and query.lastProgress["batchId"] >= 0 and tables.path_exists(spark, str(tmp_path / "out")):
+                query.processAllAvailable()
+                break
+            query.awaitTermination(1)
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    finally:
+        query.stop()
 
 
 def test_registration_skips_missing_tables(spark, tmp_path):
@@ -96,3 +160,8 @@ def test_settings_from_environment():
 def test_kafka_stream_is_configured_but_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         bus.stream_topics(spark, bus.Bus(max_offsets_per_trigger="5"), ["a", "b"])
+
+
+def test_folders_have_no_default():
+    with pytest.raises(ValueError, match="GOLD_PATH"):
+        Settings.from_env({}).gold(config.GOLD_OHLC)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.operators import windows
+from marketloom.operators.spikes import volume_spikes
 from tests.builders import trades
 
 
@@ -125,3 +126,29 @@ def test_measures_with_any_width_match_bars(spark):
         "symbol", "window_start", "start_price", "end_price"
     )
     assert sorted(map(tuple, bars.collect())) == sorted(map(tuple, measures.collect()))
+
+
+def test_order_is_exact_for_any_ids_and_width(spark):
+    time = "2024-04-30T10:00:05"
+    for one, two in ((2, 17179869185), (2, 134217729), (-(2**63), 2**63 - 1), (-5, 4)):
+        rows = trades(spark, (time, two, "99", "1"), (time, one, "10", "1"))
+        for width in ("5 minutes", "1 day", "7 days"):
+            row = windows.window_measures(rows, width=width).first()
+            assert (row.start_price, row.end_price) == (10, 99)
+
+
+def test_one_extreme_trade_does_not_end_the_job(spark):
+    good = [("GOODUSDT", f"2024-04-30T10:{m:02d}:05", m, "100", "2") for m in (0, 4, 9, 14)]
+    huge = [("BADUSDT", f"2024-04-30T10:00:0{i}", 50 + i, "1", "60000000000000000000") for i in (1, 2)]
+    steep = [("BADUSDT", "2024-04-30T10:05:01", 60, "0.000000000000000001", "0.000000000000000001"),
+             ("BADUSDT", "2024-04-30T10:05:02", 61, "1000000000000000", "1")]
+    rows = trades(spark, *good, *huge, *steep).withColumn("trade_value", F.try_multiply("price", "quantity").try_cast("decimal(38,18)"))
+    measures = windows.window_measures(rows)
+    bad, fine = (measures.where(F.col("symbol") == s).orderBy("window_start").collect() for s in ("BADUSDT", "GOODUSDT"))
+    assert bad[0].total_volume is None and bad[1].total_volume is not None
+    assert [r.total_volume for r in fine] == [4, 2, 2]
+    changes = {(r.symbol, r.window_start.minute): r.price_change_pct for r in windows.volatility(measures).collect()}
+    assert changes["BADUSDT", 5] is None and changes["GOODUSDT", 0] == 0
+    assert windows.ohlc_bars(rows).count() == len(windows.ohlc_bars(rows).collect())
+    summary = windows.trade_summary(measures)
+    assert {r.symbol for r in volume_spikes(summary).collect()} >= {"GOODUSDT"}
