@@ -33,7 +33,7 @@ LONGEST, WORD_PART = 12, 24
 #: Added to every piece count, and the probability of a character no piece covers.
 SMOOTHING, UNKNOWN = 0.05, 1e-9
 #: Values kept per worker, a word's being one per language.
-CACHE = 2_000_000
+CACHE = 1_200_000
 #: The answer for texts without letters.
 NONE = "und"
 #: Share of the best language below which a document is in none.
