@@ -233,12 +233,8 @@ def v6_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def v7_error_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = inputs.vendor_messages(inputs.table(spark, sf_dir, "events"))
-    raw = F.col("value").cast("binary")
-    return messages.select(
-        "event_id",
-        deadletter.infer_source_topic(raw, FEED).alias("source_topic"),
-        deadletter.infer_symbol(raw).alias("symbol"),
-    )
+    raw = messages.select("event_id", F.col("value").cast("binary").alias("value"))
+    return deadletter.with_error_context(raw, FEED).select("event_id", "source_topic", "symbol")
 
 
 @query(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.functions.values import is_instant_text, to_money
+from marketloom.functions.values import to_money
 from marketloom.operators.rows import computed_once, with_json
 
 # Patterns of the contracts.
@@ -189,6 +189,16 @@ ALERT_CONTRACT = Contract(
 CONTRACTS = (TRADE_CONTRACT, KLINE_CONTRACT, TICKER_CONTRACT, INVALID_CONTRACT, ALERT_CONTRACT)
 
 
+# Date and time of the contracts' format, with seconds and a zone.
+DATE_TIME_PATTERN = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
+)
+
+
+def _is_date_time(text: Column) -> Column:
+    return text.rlike(DATE_TIME_PATTERN) & F.try_to_timestamp(F.upper(text)).isNotNull()
+
+
 def _has_kind(node_type: Column, text: Column, kind: str) -> Column:
     """Whether a VARIANT node of type ``node_type`` has the JSON type ``kind``."""
     if kind == "string":
@@ -225,7 +235,7 @@ def _violation(spec: Field, event: Column) -> Column:
     if spec.min_length is not None:
         broken = broken.when(F.length(text) < spec.min_length, f"{spec.name}: minLength")
     if spec.instant:
-        broken = broken.when(~is_instant_text(text), f"{spec.name}: format")
+        broken = broken.when(~_is_date_time(text), f"{spec.name}: format")
     return broken
 
 
@@ -239,9 +249,9 @@ def contract_violations(
     ``additionalProperties``.
     """
     columns = events.columns
-    parsed = with_json(events, value, "_event", *columns).withColumn(
-        "_keys", F.json_object_keys(F.col(value))
-    )
+    parsed = with_json(events, value, "_event", *columns)
+    keys = F.map_keys(F.try_variant_get("_event", "$", "map<string,variant>"))
+    parsed = computed_once(parsed, F.struct(keys.alias("_keys")), *columns, "_event")
     event = F.col("_event")
     known = F.array(*(F.lit(spec.name) for spec in contract.fields))
     checks = [_violation(spec, event) for spec in contract.fields]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.config import Feed
-from marketloom.functions.values import iso_millis, strict_json
+from marketloom.functions.values import iso_millis
 from marketloom.operators.normalize import (
     UNKNOWN_TOPIC,
     event_type_of,
@@ -19,18 +19,24 @@ from marketloom.operators.normalize import (
     valid_events,
     vendor_type,
 )
+from marketloom.operators.rows import computed_once, with_json
 
 
-def infer_source_topic(raw: Column, feed: Feed = Feed()) -> Column:
-    """The topic a raw message was meant for, ``unknown`` when that cannot be told."""
-    payload = unwrap(strict_json(message_text(raw)))
-    return F.coalesce(topic_of(event_type_of(vendor_type(payload)), feed), F.lit(UNKNOWN_TOPIC))
+def with_error_context(messages: DataFrame, feed: Feed = Feed(), *, value: str = "value") -> DataFrame:
+    """Add ``source_topic, symbol``: the topic and symbol a raw message was meant for.
 
-
-def infer_symbol(raw: Column) -> Column:
-    """The symbol of a raw message in upper case, null when there is none."""
-    payload = unwrap(strict_json(message_text(raw)))
-    return F.upper(F.try_variant_get(payload, "$.s", "string"))
+    The topic is ``unknown`` and the symbol null where that cannot be told. The message is
+    parsed once for both.
+    """
+    columns = messages.columns
+    texts = computed_once(messages, F.struct(message_text(F.col(value)).alias("_text")), *columns)
+    parsed = with_json(texts, "_text", "_document", *columns, "_text")
+    payload = unwrap(F.col("_document"))
+    topic = F.coalesce(topic_of(event_type_of(vendor_type(payload)), feed), F.lit(UNKNOWN_TOPIC))
+    context = F.struct(
+        topic.alias("source_topic"), F.upper(F.try_variant_get(payload, "$.s", "string")).alias("symbol")
+    )
+    return computed_once(parsed, context, *columns)
 
 
 def _letter_columns(feed: Feed, error_time: Column | None) -> list[Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,14 +92,20 @@ def volume_spikes(
 def history_for(batch: DataFrame, summary: DataFrame, lookback_minutes: int) -> DataFrame:
     """The part of ``summary`` that can be a baseline for ``batch``.
 
-    One small aggregate over the batch gives two time bounds; they are passed as literals
-    so that the read of the whole table is pruned by its file statistics.
+    One small aggregate over the batch gives two time bounds; they are passed as literals, as
+    days too if the table is partitioned by ``window_date``, so that only the folders of those
+    days are listed and only their newest files read.
     """
     bounds = batch.agg(
         F.min("window_start").alias("first"), F.max("window_start").alias("last")
     ).first()
     if bounds["first"] is None:
         return summary.limit(0)
+    first = bounds["first"] - timedelta(minutes=lookback_minutes)
+    if "window_date" in summary.columns:
+        # A day more on either side, so that no zone of the driver matters.
+        days = (first - timedelta(days=1)).date(), (bounds["last"] + timedelta(days=1)).date()
+        summary = summary.where(F.col("window_date").between(F.lit(days[0]), F.lit(days[1])))
     earliest = F.lit(bounds["first"]) - F.make_dt_interval(mins=F.lit(lookback_minutes))
     return summary.where(
         (F.col("window_end") >= earliest) & (F.col("window_end") < F.lit(bounds["last"]))

@@ -39,6 +39,14 @@ def _append(
     )
 
 
+#: Column of each stored table whose day it is partitioned by, and the partition's name.
+EVENT_DATE, WINDOW_DATE = "event_date", "window_date"
+
+
+def _dated(rows: DataFrame, time_column: str, date: str) -> DataFrame:
+    return rows.withColumn(date, F.to_date(time_column))
+
+
 def bus_of(settings: Settings, path: str | None = None) -> Bus:
     return Bus(
         format=settings.bus_format,
@@ -102,21 +110,24 @@ def read_raw(spark: SparkSession, settings: Settings, topic: str) -> DataFrame:
 def start_silver(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
     feed = settings.feed
     jobs = (
-        (feed.trades_topic, refine.refine_trades, config.SILVER_TRADES, "silver/trades"),
-        (feed.klines_topic, refine.refine_klines, config.SILVER_KLINES, "silver/klines"),
-        (feed.tickers_topic, refine.refine_tickers, config.SILVER_TICKERS, "silver/tickers"),
+        (feed.trades_topic, refine.refine_trades, config.SILVER_TRADES, "event_time", "silver/trades"),
+        (feed.klines_topic, refine.refine_klines, config.SILVER_KLINES, "kline_start_time", "silver/klines"),
+        (feed.tickers_topic, refine.refine_tickers, config.SILVER_TICKERS, "event_time", "silver/tickers"),
     )
     return [
         _append(
-            transform(
-                stream_raw(spark, settings, topic), watermark_delay=settings.silver_watermark
+            _dated(
+                transform(stream_raw(spark, settings, topic), watermark_delay=settings.silver_watermark),
+                time_column,
+                EVENT_DATE,
             ),
             settings,
             settings.silver(table),
             query,
             table,
+            partition_by=(EVENT_DATE,),
         )
-        for topic, transform, table, query in jobs
+        for topic, transform, table, time_column, query in jobs
     ]
 
 
@@ -145,18 +156,20 @@ def start_trade_windows(
     delay = settings.gold_watermark
     return [
         _append(
-            windows.ohlc_bars(trades, width=bar_width, watermark_delay=delay),
+            _dated(windows.ohlc_bars(trades, width=bar_width, watermark_delay=delay), "window_end", WINDOW_DATE),
             settings,
             settings.gold(config.GOLD_OHLC),
             "gold/ohlc_1min",
             config.GOLD_OHLC,
+            partition_by=(WINDOW_DATE,),
         ),
         _append(
-            windows.window_measures(trades, width=width, watermark_delay=delay),
+            _dated(windows.window_measures(trades, width=width, watermark_delay=delay), "window_end", WINDOW_DATE),
             settings,
             settings.gold(config.GOLD_WINDOW_MEASURES),
             "gold/window_measures",
             config.GOLD_WINDOW_MEASURES,
+            partition_by=(WINDOW_DATE,),
         ),
     ]
 
@@ -171,14 +184,21 @@ def start_window_tables(spark: SparkSession, settings: Settings) -> list[Streami
         max_files_per_trigger=settings.max_files_per_trigger,
     )
     jobs = (
-        (windows.trade_summary, config.GOLD_SUMMARY, "gold/trade_summary_5min"),
-        (windows.volatility, config.GOLD_VOLATILITY, "gold/volatility_5min"),
-        (windows.price_alerts, config.GOLD_PRICE_ALERTS, "gold/price_alerts"),
-        (windows.watchlist, config.GOLD_WATCHLIST, "gold/watchlist_summary"),
+        (windows.trade_summary, config.GOLD_SUMMARY, "window_end", "gold/trade_summary_5min"),
+        (windows.volatility, config.GOLD_VOLATILITY, "window_end", "gold/volatility_5min"),
+        (windows.price_alerts, config.GOLD_PRICE_ALERTS, "window_end", "gold/price_alerts"),
+        (windows.watchlist, config.GOLD_WATCHLIST, "last_updated_time", "gold/watchlist_summary"),
     )
     return [
-        _append(cut(measures), settings, settings.gold(table), query, table)
-        for cut, table, query in jobs
+        _append(
+            _dated(cut(measures), time_column, WINDOW_DATE),
+            settings,
+            settings.gold(table),
+            query,
+            table,
+            partition_by=(WINDOW_DATE,),
+        )
+        for cut, table, time_column, query in jobs
     ]
 
 

@@ -37,6 +37,11 @@ BROKEN = [
     (trade_event(trade_id=7.5), "trade_id: type"),
     (trade_event(is_buyer_market_maker="no"), "is_buyer_market_maker: type"),
     (trade_event(event_time="30 April"), "event_time: format"),
+    (trade_event(event_time="2024-01-01T00:00:01,5+05:30"), "event_time: format"),
+    (trade_event(event_time="2024-01-01 00:00:01.5+05:30"), "event_time: format"),
+    (trade_event(event_time="2024-01-01T00:00:01.5+0530"), "event_time: format"),
+    (trade_event(event_time="2024-01-01T00:00Z"), "event_time: format"),
+    (trade_event(event_time="2024-13-01T00:00:01Z"), "event_time: format"),
     (trade_event(extra=1), "trade_event_v1: additionalProperties"),
     ("[1]", "event: type"),
     ("{", "event: type"),

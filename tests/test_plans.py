@@ -7,10 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  registers the queries
+from checks.registry import QUERIES
 from marketloom import schemas
 from marketloom.operators import refine, windows
 from marketloom.operators.normalize import normalize, valid_events
-from marketloom.operators.spikes import volume_spikes
+from marketloom.operators.spikes import history_for, volume_spikes
 from marketloom.plans import serving
 from tests.builders import at, messages, raw_records, trade_event, trade_message, trades
 
@@ -98,3 +100,17 @@ def test_messages_are_parsed_once_without_python_or_shuffle(spark):
     text = plan(valid_events(normalize(messages(spark, trade_message()))))
     assert text.count("VariantExpressionEvalUtils.parseJson") <= 1
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_history_of_spikes_is_pruned_by_day(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    rows = windows.trade_summary(windows.window_measures(trades(spark, ("2024-04-30T10:00:00", 1, "5", "1"))))
+    rows.withColumn("window_date", F.to_date("window_end")).write.partitionBy("window_date").parquet(path)
+    text = plan(history_for(rows, spark.read.parquet(path), 30))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", text)
+    assert "window_date" in filters.group(1) and "window_end" in filters.group(2)
+
+
+def test_no_round_robin_exchange_in_the_checks(spark):
+    for name in ("g1_ohlc_1min", "q4_market_snapshot", "t3_trades", "g6_volume_spikes"):
+        assert "RoundRobin" not in plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
