@@ -319,6 +319,69 @@ def v9_contract_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _good(spec: contracts.Field) -> str:
+    """JSON text of a value that the property may have."""
+    if spec.allowed:
+        return f'"{spec.allowed[0]}"'
+    if spec.instant:
+        return '"2024-01-01T00:00:01.500Z"'
+    if spec.kind != "string":
+        return {"integer": "3", "boolean": "true", "number": "1.5"}[spec.kind]
+    return '"ABCDE"' if spec.pattern == contracts.SYMBOL_PATTERN else '"1.5"'
+
+
+def _bad(spec: contracts.Field) -> tuple[str, str] | None:
+    """JSON text of the right type with a wrong value, and the rule it breaks."""
+    if spec.allowed:
+        return '"none of them"', "const" if len(spec.allowed) == 1 else "enum"
+    if spec.instant:
+        return '"2024-01-01 00:00:01,5+0530"', "format"
+    if spec.minimum is not None:
+        return str(spec.minimum - 1), "minimum"
+    if spec.pattern:
+        return '"x!"', "pattern"
+    return ('""', "minLength") if spec.min_length else None
+
+
+def _faults(contract: contracts.Contract) -> list[tuple[dict[str, str | None], str | None]]:
+    """Properties to change and the rule that breaks: each left out, of wrong type, of wrong value."""
+    found: list[tuple[dict[str, str | None], str | None]] = []
+    for spec in contract.fields:
+        found.append(({spec.name: None}, f"{spec.name}: required" if spec.required else None))
+        found.append(({spec.name: "[]"}, f"{spec.name}: type"))
+        if bad := _bad(spec):
+            found.append(({spec.name: bad[0]}, f"{spec.name}: {bad[1]}"))
+    return [*found, ({"unknown": "1"}, f"{contract.name}: additionalProperties"), ({}, None)]
+
+
+def _faults_sql(contract: contracts.Contract) -> str:
+    faults = _faults(contract)
+    rows = ", ".join(f"({i}, '{rule}')" for i, (_, rule) in enumerate(faults) if rule)
+    return f"""SELECT '{contract.name}' AS contract, rule, count(*) AS violations
+      FROM events JOIN (VALUES {rows}) AS f(i, rule) ON event_id % {len(faults)} = i GROUP BY rule"""
+
+
+@query("v9_faults_of_all_contracts", " UNION ALL ".join(_faults_sql(c) for c in contracts.CONTRACTS))
+def v9_faults_of_all_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event per row of the table and contract, with the fault that follows from its id."""
+    events = inputs.table(spark, sf_dir, "events").select("event_id")
+    reports = []
+    for contract in contracts.CONTRACTS:
+        faults = _faults(contract)
+        good = {spec.name: _good(spec) for spec in contract.fields}
+        texts = []
+        for changes, _ in faults:
+            fields = {name: text for name, text in (good | changes).items() if text is not None}
+            texts.append("{" + ",".join(f'"{name}":{text}' for name, text in fields.items()) + "}")
+        fault = (F.col("event_id") % len(faults)).cast("int")
+        made = events.select(F.get(F.array(*map(F.lit, texts)), fault).alias("value"))
+        reports.append(contracts.contract_report(made, contract))
+    report = reports[0]
+    for other in reports[1:]:
+        report = report.unionByName(other)
+    return report
+
+
 @query(
     "v10_dead_letter_metrics",
     f"""WITH {MSG} SELECT error_type, coalesce(topic, 'unknown') AS source_topic,
