@@ -28,14 +28,24 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting to remove the shuffle files of a query when it has ended.
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` written as Parquet to the shared folder and read again.
 
-    The table survives lost executors and its lineage ends here.
+    The table survives lost executors and its lineage ends here, so the shuffle files of the
+    write are of no more use and go when it has ended.
     """
     spark = rows.sparkSession
     path = work_dir(spark, label)
-    rows.write.parquet(path)
+    before = spark.conf.get(FREES_SHUFFLES, "false")
+    spark.conf.set(FREES_SHUFFLES, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(FREES_SHUFFLES, before)
     return spark.read.schema(rows.schema).parquet(path)
 
 
