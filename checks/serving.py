@@ -463,7 +463,7 @@ def q18_chart_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     "q19_alert_totals",
     f"""WITH {_ALERTS} SELECT count(*) AS published_alerts, count(DISTINCT symbol) AS symbols_alerted,
       count(*) FILTER (WHERE severity = 'HIGH') AS high_severity, max(created_at) AS latest_alert
-    FROM msgs WHERE we2 >= {START_SQL}""",
+    FROM msgs WHERE created_at >= '2024-01-18T12:00:00.000Z'""",
 )
 def q19_alert_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.alert_totals(serving.alert_rows(alert_records(spark, sf_dir), start=START))

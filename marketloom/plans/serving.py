@@ -314,10 +314,9 @@ def overview(
 def alert_rows(records: DataFrame, *, start: datetime | None = None) -> DataFrame:
     """All alert messages created since ``start``, with the JSON fields as columns.
 
-    An alert is sent after it was created, so records from before the start are left out
-    before their JSON is parsed.
+    Pass ``start`` to ``bus.read_topic`` too: an alert is sent after it was created, so older
+    records need not be fetched.
     """
-    records = since(records, "timestamp", start)
     parsed = records.select(
         "topic",
         "partition",
