@@ -189,4 +189,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` whose id is their component's; rows without an id all stay."""
     found = near_duplicates(docs, id_col, text_col)
     dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"))
-    return docs.join(dropped.distinct(), docs[f"`{id_col}`"].cast("long") == F.col("_id"), "left_anti")
+    dropped = dropped.distinct()
+    return docs.join(dropped, docs[f"`{id_col}`"].cast("long") == dropped["_id"], "left_anti")

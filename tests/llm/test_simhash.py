@@ -62,7 +62,7 @@ def test_documents(spark):
     for (doc_id, _), root in zip(rows, roots, strict=True):
         least[root] = min(doc_id, least.get(root, doc_id))
     want = sorted((doc_id, f"{m:016x}", least[r]) for (doc_id, _), m, r in zip(rows, marks, roots, strict=True))
-    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, mark int")
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, _id int")
     assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == want
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
