@@ -260,20 +260,29 @@ def _model(token: str, pieces: list[str], languages: list[str], weights: np.ndar
     return _MODELS[token]
 
 
-def predict(docs: DataFrame, pieces: list[str], languages: list[str], weights: np.ndarray) -> DataFrame:
+def predict(
+    docs: DataFrame,
+    pieces: list[str],
+    languages: list[str],
+    weights: np.ndarray,
+    row_field: str | None = None,
+) -> DataFrame:
     """``docs`` with ``lang_pred, score`` instead of its column ``text``.
 
-    The score is the language's share of the text's probability over all languages.
+    The score is the language's share of the text's probability over all languages. With
+    ``row_field`` the text is that field of a column ``_row``, which stays, so that a whole row
+    passes through a worker once.
     """
     token = uuid.uuid4().hex
-    kept = [name for name in docs.columns if name != "text"]
+    kept = [name for name in docs.columns if row_field or name != "text"]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(token, pieces, languages, weights) if languages else None
         for batch in rows:
             found: list[tuple[str, float]] = []
+            column = batch.column("_row").field(row_field) if row_field else batch.column("text")
             for low in range(0, batch.num_rows, 256):
-                texts = [text.as_py() for text in batch.column("text").slice(low, 256)]
+                texts = [text.as_py() for text in column.slice(low, 256)]
                 if model is not None:
                     model.learn(texts)
                 for text in texts:
@@ -343,5 +352,5 @@ def in_a_language(
     rows = _rows(docs, id_col, text_col, lang_col)
     languages, weights = fit(rows.where(~F.col("held_out")), pieces)
     whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row")
-    found = predict(docs.select(whole, docs[f"`{text_col}`"].cast("string").alias("text")), pieces, languages, weights)
+    found = predict(docs.select(whole), pieces, languages, weights, row_field=text_col)
     return found.where((F.col("lang_pred") != NONE) & (F.col("score") >= least_score)).select("_row.*")

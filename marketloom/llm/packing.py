@@ -29,7 +29,7 @@ CAPACITY, SEPARATOR = 2048, 0
 #: Pieces that one task packs.
 GROUP = 50_000
 #: Words and stretches whose ids a worker keeps.
-ROOM = 700_000
+ROOM = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _WORDS = regex.compile(WORDS)
 
