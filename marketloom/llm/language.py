@@ -159,15 +159,19 @@ class Model:
         for part in slices(text):
             words = words_of(part)
             letters = letters or any(c.isalpha() for w in words for c in w)
-            if words:
-                fresh = {w for w in words if w not in self.place}
-                if len(self.place) + len(fresh) > self.room:
-                    self.place.clear()  # start anew; the words of a slice always fit
-                    fresh = set(words)
-                self._learn(fresh)
-                total += self.logs[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            for low in range(0, len(words), self.room):
+                total += self._sum(words[low : low + self.room])
         return total if letters else None
 
+    def _sum(self, words: list[str]) -> np.ndarray:
+        """Log probability of ``room`` words at most, so that all of them fit."""
+        fresh = {w for w in words if w not in self.place}
+        if len(self.place) + len(fresh) > self.room:
+            self.place.clear()
+            fresh = set(words)
+        self._learn(fresh)
+        return self.logs[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
     def learn(self, texts: list[str | None]) -> None:
         """Score the new words of several texts together, which is faster than one by one."""
         fresh: set[str] = set()

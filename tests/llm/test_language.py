@@ -100,3 +100,13 @@ def test_fit_and_predict_are_usable_alone(spark):
     assert languages == ["aa", "bb"] and weights.shape == (len(pieces), 2)
     found = predict(docs(spark).select("score", "text").toDF("mark", "text"), pieces, languages, weights)
     assert found.columns == ["mark", "lang_pred", "score"] and found.count() == 120
+
+
+def test_a_text_without_white_space_and_more_words_than_the_table_holds():
+    pieces = [chr(9601), *"abcdefghij"]
+    languages = [f"l{i:02}" for i in range(20)]
+    weights = np.random.default_rng(1).random((len(pieces), len(languages))) + 0.1
+    model = Model(pieces, languages, weights)
+    words = ["".join("abcdefghij"[int(d)] for d in f"{i:06}") for i in range(model.room + 5000)]
+    whole = model.text_logs(",".join(words))
+    assert np.allclose(whole, Model(pieces, languages, weights).text_logs(" ".join(words)))
