@@ -13,6 +13,7 @@ from marketloom.llm.chaining import repeated_passages
 from marketloom.llm.exact_dedup import exact_dedup
 from marketloom.llm.html_text import extract
 from marketloom.llm.language import identify
+from marketloom.llm.manifest import tamper_check
 from marketloom.llm.packing import pack_documents
 from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.topk import top_k
@@ -143,3 +144,75 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Unsigned crc32 of a decimal id: a step per byte and eight shifts after each.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END))"""
+
+
+def _leaf_sql(text: str) -> str:
+    """SQL of a row's digest with ``text`` in the place of its text."""
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    parts = [f"coalesce(octet_length(encode({f}))::VARCHAR || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+@query(
+    "op13_merkle_manifest",
+    f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_CRC32} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE leaf END AS given,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx,
+               count(*) OVER (PARTITION BY source) AS n
+        FROM documents
+    ), nodes AS (
+        SELECT source, 0 AS lvl, idx, leaf AS digest, n FROM leaves
+        UNION ALL
+        SELECT source, lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), max((n + 2) // 3)
+        FROM nodes WHERE n > 1 GROUP BY source, lvl, idx // 3
+    ), subroots AS (
+        SELECT source, digest AS subroot, lvl AS depth,
+               row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+        FROM nodes WHERE n = 1
+    ), tops AS (
+        SELECT 0 AS lvl, place AS idx, subroot AS digest, n FROM subroots
+        UNION ALL
+        SELECT lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), max((n + 2) // 3)
+        FROM tops WHERE n > 1 GROUP BY lvl, idx // 3
+    ), steps AS (
+        SELECT l.doc_id, x.lvl AS step, x.idx, l.idx // (3 ** x.lvl)::BIGINT AS own, x.digest
+        FROM leaves l JOIN nodes x
+          ON l.source IS NOT DISTINCT FROM x.source AND x.n > 1
+         AND l.idx // (3 ** (x.lvl + 1))::BIGINT = x.idx // 3
+        UNION ALL
+        SELECT l.doc_id, r.depth + x.lvl, x.idx, r.place // (3 ** x.lvl)::BIGINT, x.digest
+        FROM leaves l JOIN subroots r ON l.source IS NOT DISTINCT FROM r.source
+        JOIN tops x ON x.n > 1 AND r.place // (3 ** (x.lvl + 1))::BIGINT = x.idx // 3
+    ), sides AS (
+        SELECT doc_id, step, coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS before,
+               coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS after
+        FROM steps GROUP BY doc_id, step
+    ), proofs AS (
+        SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256, count(*) AS n_steps
+        FROM sides GROUP BY doc_id
+    ), folded AS (
+        SELECT doc_id, 0 AS step, given AS digest FROM leaves
+        UNION ALL
+        SELECT f.doc_id, f.step + 1, sha256(s.before || f.digest || s.after)
+        FROM folded f JOIN sides s ON f.doc_id = s.doc_id AND f.step = s.step
+    )
+    SELECT l.doc_id, l.leaf, r.subroot, t.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+           f.digest AS folded_root, f.digest = t.digest AS verified
+    FROM leaves l JOIN subroots r ON l.source IS NOT DISTINCT FROM r.source
+    CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
+    LEFT JOIN proofs p ON l.doc_id = p.doc_id
+    JOIN folded f ON l.doc_id = f.doc_id AND f.step = coalesce(p.n_steps, 0)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tamper_check(docs, F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0)
