@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.bpe import encode_digests
 from marketloom.llm.chaining import repeated_passages
+from marketloom.llm.concat import concatenate_and_cut
 from marketloom.llm.exact_dedup import exact_dedup
 from marketloom.llm.html_text import extract
 from marketloom.llm.language import identify
@@ -146,6 +147,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op11_concatenate_and_cut")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = concatenate_and_cut(table(spark, sf_dir, "documents"), WORD_BPE)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 #: Unsigned crc32 of a decimal id: a step per byte and eight shifts after each.
 _CRC32 = """xor(4294967295, list_reduce(
     list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
