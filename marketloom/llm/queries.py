@@ -20,6 +20,7 @@ from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.topk import top_k
 from marketloom.llm.urlfilter import judge_urls
 from marketloom.llm.warc import archived_pages
+from marketloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,6 +156,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 #: Unsigned crc32 of a decimal id: a step per byte and eight shifts after each.
 _CRC32 = """xor(4294967295, list_reduce(
     list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
