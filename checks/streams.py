@@ -322,7 +322,7 @@ def t6_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def t7_watermarked_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = all_layers(spark, sf_dir)
-    rows = tables.read_table(spark, settings.silver(config.SILVER_TRADES), schemas.TRADES)
+    rows = tables.read_table(spark, settings.silver(config.SILVER_TRADES), schemas.TRADES, exact=True)
     return rows.drop("source", "ingest_time", "bronze_partition", "process_time")
 
 

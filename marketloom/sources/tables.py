@@ -25,14 +25,23 @@ def move_into_place(spark: SparkSession, source: str, target: str) -> None:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType | None = None, *, table_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    *,
+    table_format: str = "parquet",
+    exact: bool = False,
 ) -> DataFrame | None:
-    """The table at ``path``, or None when there is none."""
+    """The table at ``path``, or None when there is none.
+
+    A partitioned table has its partition columns too; ``exact`` keeps those of ``schema`` only.
+    """
     reader = spark.read.format(table_format)
     if schema is not None and table_format != "delta":
         reader = reader.schema(schema)
     try:
-        return reader.load(path)
+        table = reader.load(path)
+        return table.select(*schema.names) if exact and schema is not None else table
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
             return None
