@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from checks.registry import query
 from checks.sql import EV, GOLD, MSG, PLAIN
 from marketloom import schemas
 from marketloom.functions import values
+from marketloom.functions.jsonschema import Property
 from marketloom.operators import alerts, contracts, deadletter, spikes, windows
 from marketloom.operators.normalize import invalid_events, valid_events
 from marketloom.operators.validate import validate
@@ -270,27 +273,18 @@ def v8_split_valid_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v9_contract_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything the pipeline publishes against its contract: events, dead letters, alerts."""
     normalized = inputs.normalized(spark, sf_dir)
-    valid = valid_events(normalized)
-    letters = deadletter.dead_letter_records(invalid_events(normalized), FEED)
+    messages = deadletter.route(normalized, FEED, keep=("event_type", "error_type"))
+    named = contracts.contract_name(F.col("event_type"), F.col("error_type").isNotNull())
     measures = windows.window_measures(inputs.trades(spark, sf_dir))
     spiking = spikes.volume_spikes(windows.trade_summary(measures))
     alert_events = alerts.volume_alerts(spiking).unionByName(
         alerts.price_move_alerts(windows.price_alerts(measures))
     )
-    reports = [
-        contracts.contract_report(valid.where(F.col("event_type") == kind), contract)
-        for kind, contract in (
-            ("trade", contracts.TRADE_CONTRACT),
-            ("kline", contracts.KLINE_CONTRACT),
-            ("ticker", contracts.TICKER_CONTRACT),
-        )
-    ]
-    report = contracts.contract_report(letters, contracts.INVALID_CONTRACT)
-    for other in reports:
-        report = report.unionByName(other)
-    return report.unionByName(
-        contracts.contract_report(alerts.alert_messages(alert_events), contracts.ALERT_CONTRACT)
+    alert_name = F.lit(contracts.ALERT_CONTRACT.name)
+    feed = messages.select("value", named.alias("contract")).unionByName(
+        alerts.alert_messages(alert_events).select("value", alert_name.alias("contract"))
     )
+    return contracts.feed_report(feed)
 
 
 @query(
@@ -319,41 +313,46 @@ def v9_contract_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _good(spec: contracts.Field) -> str:
+def _good(spec: Property) -> str:
     """JSON text of a value that the property may have."""
-    if spec.allowed:
-        return f'"{spec.allowed[0]}"'
-    if spec.instant:
+    rules = spec.rules
+    if "const" in rules or "enum" in rules:
+        return json.dumps(rules["const"] if "const" in rules else rules["enum"][0])
+    if "format" in rules:
         return '"2024-01-01T00:00:01.500Z"'
-    if spec.kind != "string":
-        return {"integer": "3", "boolean": "true", "number": "1.5"}[spec.kind]
-    return '"ABCDE"' if spec.pattern == contracts.SYMBOL_PATTERN else '"1.5"'
+    if rules["type"] != "string":
+        return {"integer": "3", "boolean": "true", "number": "1.5"}[rules["type"]]
+    return '"ABCDE"' if "A-Z" in rules.get("pattern", "") else '"1.5"'
 
 
-def _bad(spec: contracts.Field) -> tuple[str, str] | None:
-    """JSON text of the right type with a wrong value, and the rule it breaks."""
-    if spec.allowed:
-        return '"none of them"', "const" if len(spec.allowed) == 1 else "enum"
-    if spec.instant:
-        return '"2024-01-01 00:00:01,5+0530"', "format"
-    if spec.minimum is not None:
-        return str(spec.minimum - 1), "minimum"
-    if spec.pattern:
-        return '"x!"', "pattern"
-    return ('""', "minLength") if spec.min_length else None
+#: JSON text of the right type with a wrong value, by the keyword that it breaks.
+_WRONG = {
+    "const": lambda given: '"none of them"', "enum": lambda given: '"none of them"',
+    "format": lambda given: '"2024-01-01 00:00:01,5+0530"', "minimum": lambda given: str(given - 1),
+    "pattern": lambda given: '"x!"', "minLength": lambda given: '""',
+}
 
 
 def _faults(contract: contracts.Contract) -> list[tuple[dict[str, str | None], str | None]]:
     """Properties to change and the rule that breaks: each left out, of wrong type, of wrong value."""
     found: list[tuple[dict[str, str | None], str | None]] = []
-    for spec in contract.fields:
+    for spec in contract.properties:
         found.append(({spec.name: None}, f"{spec.name}: required" if spec.required else None))
         found.append(({spec.name: "[]"}, f"{spec.name}: type"))
-        if bad := _bad(spec):
-            found.append(({spec.name: bad[0]}, f"{spec.name}: {bad[1]}"))
+        for word in set(spec.rules) & set(_WRONG):
+            found.append(({spec.name: _WRONG[word](spec.rules[word])}, f"{spec.name}: {word}"))
     return [*found, ({"unknown": "1"}, f"{contract.name}: additionalProperties"), ({}, None)]
 
 
+def _faulty_texts(contract: contracts.Contract) -> list[str]:
+    """An event's JSON text for each of the contract's faults."""
+    good, texts = {spec.name: _good(spec) for spec in contract.properties}, []
+    for changes, _ in _faults(contract):
+        fields = {name: text for name, text in (good | changes).items() if text is not None}
+        texts.append("{" + ",".join(f'"{name}":{text}' for name, text in fields.items()) + "}")
+    return texts
+
+
 def _faults_sql(contract: contracts.Contract) -> str:
     faults = _faults(contract)
     rows = ", ".join(f"({i}, '{rule}')" for i, (_, rule) in enumerate(faults) if rule)
@@ -363,23 +362,16 @@ def _faults_sql(contract: contracts.Contract) -> str:
 
 @query("v9_faults_of_all_contracts", " UNION ALL ".join(_faults_sql(c) for c in contracts.CONTRACTS))
 def v9_faults_of_all_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An event per row of the table and contract, with the fault that follows from its id."""
-    events = inputs.table(spark, sf_dir, "events").select("event_id")
-    reports = []
+    """A mixed feed: an event per row of the table and contract, with the fault that follows from its id."""
+    made = []
     for contract in contracts.CONTRACTS:
-        faults = _faults(contract)
-        good = {spec.name: _good(spec) for spec in contract.fields}
-        texts = []
-        for changes, _ in faults:
-            fields = {name: text for name, text in (good | changes).items() if text is not None}
-            texts.append("{" + ",".join(f'"{name}":{text}' for name, text in fields.items()) + "}")
-        fault = (F.col("event_id") % len(faults)).cast("int")
-        made = events.select(F.get(F.array(*map(F.lit, texts)), fault).alias("value"))
-        reports.append(contracts.contract_report(made, contract))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+        texts = _faulty_texts(contract)
+        fault = (F.col("event_id") % len(texts)).cast("int")
+        made.append(F.struct(
+            F.lit(contract.name).alias("contract"), F.get(F.array(*map(F.lit, texts)), fault).alias("value")
+        ))
+    events = inputs.table(spark, sf_dir, "events").select("event_id")
+    return contracts.feed_report(events.select(F.inline(F.array(*made))))
 
 
 @query(

@@ -84,9 +84,11 @@ def strict_json(text: Column) -> Column:
     return unsealed(sealed_json(text), text)
 
 
-# Significant digits of a product, and the largest exponent written out.
+# Significant digits of a product, and the largest exponent of decimal arithmetic.
 PRODUCT_DIGITS = 28
-PRODUCT_EXPONENT = 1000
+PRODUCT_EXPONENT = 999_999
+#: Digits of a limb of a long factor; the products of limbs stay far below 38 digits.
+LIMB = 9
 
 
 def _let(value: Column, body) -> Column:
@@ -110,14 +112,37 @@ def _number_parts(text: Column) -> Column:
 def product_text(left: Column, right: Column) -> Column:
     """Product of two decimal texts in plain notation.
 
-    The digits are multiplied as integers and the point is placed afterwards, so the product is
-    exact, with as many fraction digits as both factors have together; beyond 28 significant
-    digits it is rounded half to even, as decimal arithmetic of that precision does. Null when
-    the factors have more than 38 digits together, or an exponent is out of proportion.
+    It is exact, with as many fraction digits as both factors have together; beyond 28
+    significant digits it is rounded half to even, as decimal arithmetic of that precision
+    does. Plain factors of up to 28 digits together, which is nearly every message, are one
+    product of whole numbers; signs, exponents and more digits take the long way.
     """
     factors = F.struct(_number_parts(left).alias("a"), _number_parts(right).alias("b"))
     numbers = left.rlike(NUMBER_PATTERN) & right.rlike(NUMBER_PATTERN)
-    return F.when(numbers, _let(_let(_let(factors, _multiplied), _rounded), _plain))
+    long = F.when(numbers, _let(_let(_let(factors, _multiplied), _rounded), _plain))
+    short = _is_plain(left) & _is_plain(right) & (F.length(left) + F.length(right) <= PRODUCT_DIGITS)
+    return F.when(short, _short_product(left, right)).otherwise(long)
+
+
+def _is_plain(text: Column) -> Column:
+    """Digits with at most one point among them, few enough for a whole number of 18 digits."""
+    digits = F.length(F.replace(text, F.lit("."), F.lit("")))
+    only = F.translate(text, "0123456789.", "") == ""
+    return only & (digits > 0) & (digits >= F.length(text) - 1) & (F.length(text) <= 18)
+
+
+def _short_product(left: Column, right: Column) -> Column:
+    def whole(text: Column) -> Column:
+        return F.replace(text, F.lit("."), F.lit("")).try_cast("decimal(18,0)")
+
+    def fraction(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit(".")), F.length(text) - F.instr(text, ".")).otherwise(0)
+
+    digits, places = F.try_multiply(whole(left), whole(right)).cast("string"), fraction(left) + fraction(right)
+    padded = F.lpad(digits, F.greatest(F.length(digits), places + 1), F.lit("0"))
+    point = F.length(padded) - places
+    text = F.concat(F.substring(padded, F.lit(1), point), F.lit("."), F.substring(padded, point + 1, places))
+    return F.when(places == 0, digits).otherwise(text)
 
 
 def _multiplied(factors: Column) -> Column:
@@ -125,16 +150,50 @@ def _multiplied(factors: Column) -> Column:
     product = F.try_multiply(_whole(a), _whole(b)).cast("string")
     return F.struct(
         (factors["a"]["minus"] != factors["b"]["minus"]).alias("minus"),
-        F.when(F.length(a) + F.length(b) <= 38, product).alias("digits"),
+        F.when(F.length(a) + F.length(b) <= 38, product).otherwise(_long_digits(a, b)).alias("digits"),
         (factors["a"]["power"] + factors["b"]["power"]).alias("power"),
     )
 
 
+def _limbs(digits: Column) -> Column:
+    """The number's limbs, the lowest first."""
+    count = F.greatest(F.ceil(F.length(digits) / LIMB).cast("int"), F.lit(1))
+    padded = F.lpad(digits, count * LIMB, F.lit("0"))
+    at = F.sequence(count - 1, F.lit(0), F.lit(-1))
+    return F.transform(at, lambda i: F.substring(padded, i * LIMB + 1, F.lit(LIMB)).cast("decimal(38,0)"))
+
+
+def _long_digits(a: Column, b: Column) -> Column:
+    """Digits of the product of two digit texts of any length: limb by limb, then the carries."""
+    zero = F.lit(0).cast("decimal(38,0)")
+
+    def column(x: Column, y: Column, k: Column) -> Column:
+        pairs = F.sequence(F.greatest(k - F.size(y) + 1, F.lit(0)), F.least(k, F.size(x) - 1))
+        return F.aggregate(pairs, zero, lambda s, i: (s + F.get(x, i) * F.get(y, k - i)).cast("decimal(38,0)"))
+
+    def carried(state: Column, total: Column) -> Column:
+        now = (state["carry"] + total).cast("decimal(38,0)")
+        limb = F.pmod(now, F.lit(10**LIMB).cast("decimal(38,0)"))
+        text = F.lpad(limb.cast("string"), LIMB, "0")
+        carry = ((now - limb) / F.lit(10**LIMB).cast("decimal(10,0)")).cast("decimal(38,0)")
+        return F.struct(carry.alias("carry"), F.concat(text, state["text"]).alias("text"))
+
+    def product(factors: Column) -> Column:
+        x, y = factors["x"], factors["y"]
+        totals = F.transform(F.sequence(F.lit(0), F.size(x) + F.size(y) - 2), lambda k: column(x, y, k))
+        start = F.struct(zero.alias("carry"), F.lit("").alias("text"))
+        done = F.aggregate(totals, start, carried, lambda s: F.concat(s["carry"].cast("string"), s["text"]))
+        digits = F.ltrim(done, F.lit("0"))
+        return F.when(digits == "", "0").otherwise(digits)
+
+    return _let(F.struct(_limbs(a).alias("x"), _limbs(b).alias("y")), product)
+
+
 def _rounded(number: Column) -> Column:
     """At most 28 digits, half to even."""
     digits, power = number["digits"], number["power"]
     extra = F.length(digits) - PRODUCT_DIGITS
-    head, tail = F.substring(digits, 1, PRODUCT_DIGITS), F.substring(digits, PRODUCT_DIGITS + 1, 38)
+    head, tail = F.substring(digits, 1, PRODUCT_DIGITS), F.substring(digits, F.lit(PRODUCT_DIGITS + 1), F.length(digits))
     half = F.rpad(F.lit("5"), extra, F.lit("0"))
     odd = F.substring(head, -1, 1).isin("1", "3", "5", "7", "9")
     up = (tail > half) | ((tail == half) & odd)

@@ -1,69 +1,72 @@
-"""Checks of JSON events against their published contracts."""
+"""Checks of JSON events against their published contracts, which are JSON-Schema files.
+
+A contract is compiled to columns once, and a mixed feed is checked in one pass: each event is
+parsed once and meets the rules of the contract that its row names.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import posixpath
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.functions.jsonschema import Closed, Property, broken_rule, compiled, keys_of
 from marketloom.functions.values import to_money
 from marketloom.operators.rows import computed_once, with_json
 
-# Patterns of the contracts.
-SYMBOL_PATTERN = "^[A-Z0-9]{5,20}$"
-AMOUNT_PATTERN = r"^(0|[1-9][0-9]*)(\.[0-9]+)?$"
-SIGNED_AMOUNT_PATTERN = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
-
-
-@dataclass(frozen=True)
-class Field:
-    """What one property must be; unset rules are not checked."""
-
-    name: str
-    kind: str = "string"
-    allowed: tuple[str, ...] = ()
-    pattern: str | None = None
-    minimum: int | None = None
-    min_length: int | None = None
-    instant: bool = False
-    required: bool = True
+#: Where the library's own contract files are.
+FILES = Path(__file__).resolve().parent.parent / "contracts"
+#: Rules of a contract that one step of a plan checks.
+STEP = 3
+Rule = Callable[[Callable[[str], Column]], Column]
 
 
 @dataclass(frozen=True)
 class Contract:
-    """Properties of one event; other properties are not allowed.
+    """A contract's name and the compiled rules of its file.
 
     ``extra_rules`` are documented but not enforced upstream, so they are off by default.
     """
 
     name: str
-    fields: tuple[Field, ...]
-    extra_rules: tuple[tuple[str, Callable[[Callable[[str], Column]], Column]], ...] = field(
-        default=()
-    )
+    rules: tuple[Property | Closed, ...]
+    extra_rules: tuple[tuple[str, Rule], ...] = field(default=())
 
+    @property
+    def properties(self) -> tuple[Property, ...]:
+        return tuple(rule for rule in self.rules if isinstance(rule, Property))
 
-def _const(name: str, value: str) -> Field:
-    return Field(name, allowed=(value,))
 
+def contract_of(
+    name: str, document: Mapping, read: Callable[[str], Mapping] = {}.__getitem__, extra_rules: Sequence[tuple[str, Rule]] = ()
+) -> Contract:
+    """The contract of a JSON-Schema document; ``read`` gives the files that it refers to."""
+    return Contract(name, tuple(compiled(document, read)), tuple(extra_rules))
 
-def _instant(name: str) -> Field:
-    return Field(name, instant=True)
 
+def read_contract(spark: SparkSession, path: str, extra_rules: Sequence[tuple[str, Rule]] = ()) -> Contract:
+    """A contract file on any file system that Spark reads, named after the file."""
 
-def _amount(name: str) -> Field:
-    return Field(name, pattern=AMOUNT_PATTERN)
+    def document(file: str) -> Mapping:
+        return json.loads(spark.read.text(file, wholetext=True).first()["value"])
 
+    folder, name = posixpath.split(path)
+    return contract_of(name.removesuffix(".json"), document(path), lambda file: document(f"{folder}/{file}"), extra_rules)
 
-def _count(name: str) -> Field:
-    return Field(name, kind="integer", minimum=0)
 
+@cache
+def _packaged(file: str) -> Mapping:
+    return json.loads((FILES / file).read_text(encoding="utf-8"))
 
-_VERSION = _const("schema_version", "1.0")
-_SYMBOL = Field("symbol", pattern=SYMBOL_PATTERN)
-_SOURCE = _const("source", "binance")
+
+def packaged_contract(name: str, *extra_rules: tuple[str, Rule]) -> Contract:
+    return contract_of(name, _packaged(f"{name}.json"), _packaged, extra_rules)
 
 
 def _high_not_below_low(get: Callable[[str], Column]) -> Column:
@@ -75,218 +78,90 @@ def _value_is_product(get: Callable[[str], Column]) -> Column:
     return F.round(to_money(get("trade_value")), 6) == product
 
 
-# The contracts, version 1.
-TRADE_CONTRACT = Contract(
-    "trade_event_v1",
-    (
-        _VERSION,
-        _const("event_type", "trade"),
-        _SYMBOL,
-        _instant("event_time"),
-        _count("trade_id"),
-        _amount("price"),
-        _amount("quantity"),
-        _amount("trade_value"),
-        Field("is_buyer_market_maker", kind="boolean"),
-        _SOURCE,
-        _instant("ingest_time"),
-    ),
-    (("trade_value equals price times quantity", _value_is_product),),
-)
-KLINE_CONTRACT = Contract(
-    "kline_event_v1",
-    (
-        _VERSION,
-        _const("event_type", "kline"),
-        _SYMBOL,
-        _instant("event_time"),
-        _instant("kline_start_time"),
-        _instant("kline_close_time"),
-        _const("interval", "1m"),
-        _amount("open_price"),
-        _amount("high_price"),
-        _amount("low_price"),
-        _amount("close_price"),
-        _amount("volume"),
-        _amount("quote_asset_volume"),
-        _count("number_of_trades"),
-        _amount("taker_buy_base_asset_volume"),
-        _amount("taker_buy_quote_asset_volume"),
-        Field("is_closed", kind="boolean"),
-        _SOURCE,
-        _instant("ingest_time"),
-    ),
-    (("high_price is not below low_price", _high_not_below_low),),
-)
-TICKER_CONTRACT = Contract(
-    "ticker_event_v1",
-    (
-        _VERSION,
-        _const("event_type", "ticker"),
-        _SYMBOL,
-        _instant("event_time"),
-        Field("price_change", pattern=SIGNED_AMOUNT_PATTERN),
-        Field("price_change_percent", pattern=SIGNED_AMOUNT_PATTERN),
-        _amount("weighted_avg_price"),
-        _amount("last_price"),
-        _amount("last_quantity"),
-        _amount("open_price"),
-        _amount("high_price"),
-        _amount("low_price"),
-        _amount("volume"),
-        _amount("quote_volume"),
-        _instant("open_time"),
-        _instant("close_time"),
-        _count("first_trade_id"),
-        _count("last_trade_id"),
-        _count("trade_count"),
-        _SOURCE,
-        _instant("ingest_time"),
-    ),
-    (("high_price is not below low_price", _high_not_below_low),),
-)
-INVALID_CONTRACT = Contract(
-    "invalid_event_v1",
-    (
-        _VERSION,
-        Field(
-            "source_topic",
-            allowed=("market.trades.raw", "market.klines.raw", "market.tickers.raw", "unknown"),
-        ),
-        Field(
-            "error_type",
-            allowed=(
-                "VALIDATION_ERROR",
-                "JSON_DECODE_ERROR",
-                "SCHEMA_ERROR",
-                "ROUTING_ERROR",
-                "PRODUCER_ERROR",
-            ),
-        ),
-        Field("error_message", min_length=1),
-        Field("raw_payload", min_length=1),
-        _instant("error_time"),
-        Field("symbol", pattern=SYMBOL_PATTERN, required=False),
-    ),
-)
-ALERT_CONTRACT = Contract(
-    "alert_event_v1",
-    (
-        _VERSION,
-        _SYMBOL,
-        Field(
-            "alert_type",
-            allowed=("VOLUME_SPIKE", "PRICE_SURGE", "PRICE_DROP", "HIGH_VOLATILITY"),
-        ),
-        Field("severity", allowed=("LOW", "MEDIUM", "HIGH")),
-        _instant("window_start"),
-        _instant("window_end"),
-        Field("metric_value", kind="number"),
-        Field("description", min_length=1),
-        _instant("created_at"),
-    ),
-)
+_NOT_CROSSED = ("high_price is not below low_price", _high_not_below_low)
+TRADE_CONTRACT = packaged_contract("trade_event_v1", ("trade_value equals price times quantity", _value_is_product))
+KLINE_CONTRACT = packaged_contract("kline_event_v1", _NOT_CROSSED)
+TICKER_CONTRACT = packaged_contract("ticker_event_v1", _NOT_CROSSED)
+INVALID_CONTRACT = packaged_contract("invalid_event_v1")
+ALERT_CONTRACT = packaged_contract("alert_event_v1")
 CONTRACTS = (TRADE_CONTRACT, KLINE_CONTRACT, TICKER_CONTRACT, INVALID_CONTRACT, ALERT_CONTRACT)
 
 
-# Date and time of the contracts' format, with seconds and a zone.
-DATE_TIME_PATTERN = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
-)
-
+def contract_name(event_type: Column, failed: Column | None = None) -> Column:
+    """The contract of an event of this type, or of a dead letter where ``failed`` holds."""
+    name = F.concat(event_type, F.lit("_event_v1"))
+    return name if failed is None else F.when(failed, INVALID_CONTRACT.name).otherwise(name)
 
-def _is_date_time(text: Column) -> Column:
-    return text.rlike(DATE_TIME_PATTERN) & F.try_to_timestamp(F.upper(text)).isNotNull()
 
+def _checks(contract: Contract, extra_rules: bool) -> list[Column]:
+    """A column per rule: its text where the event ``_event`` breaks it, else null."""
+    event, keys = F.col("_event"), F.col("_keys")
+    checks = [broken_rule(rule, event, keys, contract.name) for rule in contract.rules]
+    if extra_rules:
+        for text, holds in contract.extra_rules:
+            rule = holds(lambda name: F.try_variant_get(event, f"$.{name}", "string"))
+            checks.append(F.when(~rule, f"{contract.name}: {text}"))
+    return checks
 
-def _has_kind(node_type: Column, text: Column, kind: str) -> Column:
-    """Whether a VARIANT node of type ``node_type`` has the JSON type ``kind``."""
-    if kind == "string":
-        return node_type == "STRING"
-    if kind == "boolean":
-        return node_type == "BOOLEAN"
-    is_number = node_type.rlike("^(BIGINT|DOUBLE|DECIMAL)")
-    if kind == "integer":
-        return is_number & (text.try_cast("double") == F.floor(text.try_cast("double")))
-    return is_number
 
+def feed_violations(
+    events: DataFrame, contracts: Sequence[Contract] = CONTRACTS, value: str = "value", contract: str = "contract", *,
+    extra_rules: bool = False,
+) -> DataFrame:
+    """Add ``violations``, the broken rules of a JSON event as ``name: rule`` texts.
 
-def _violation(spec: Field, event: Column) -> Column:
-    """The first rule a property breaks as ``name: rule``, null when it breaks none."""
-    node = F.try_variant_get(event, f"$.{spec.name}", "variant")
-    text = F.try_variant_get(event, f"$.{spec.name}", "string")
-    broken = (
-        F.when(node.isNull(), f"{spec.name}: required")
-        if spec.required
-        else F.when(node.isNull(), F.lit(None).cast("string"))
-    )
-    broken = broken.when(
-        ~_has_kind(F.schema_of_variant(node), text, spec.kind), f"{spec.name}: type"
+    Each row names its contract in the column ``contract``; one that is not known breaks
+    ``event: contract`` only, and text that is not a JSON object ``event: type`` only. A property
+    reports the first rule it breaks. Null texts and null names count as not known.
+    """
+    columns = events.columns
+    rows = with_json(events, value, "_event", *columns)
+    rows = computed_once(rows, F.struct(keys_of(F.col("_event")).alias("_keys")), *columns, "_event")
+    known = F.coalesce(F.col(f"`{contract}`").isin(*[one.name for one in contracts]), F.lit(False))
+    lines = F.when(~known, "event: contract").when(F.col("_keys").isNull(), "event: type").otherwise("")
+    carried = [*columns, "_event", "_keys"]
+    rows = computed_once(rows, F.struct(lines.alias("_lines")), *carried)
+    # Few rules a step keep the generated methods small enough for the JIT; a row computes
+    # those of its own contract only.
+    for one in contracts:
+        mine = F.col("_keys").isNotNull() & (F.col(f"`{contract}`") == one.name)
+        checks = _checks(one, extra_rules)
+        for low in range(0, len(checks), STEP):
+            more = F.concat_ws("\n", F.nullif("_lines", F.lit("")), *checks[low : low + STEP])
+            lines = F.when(mine, more).otherwise(F.col("_lines"))
+            rows = computed_once(rows, F.struct(lines.alias("_lines")), *carried)
+    violations = F.when(F.col("_lines") == "", F.array().cast("array<string>")).otherwise(F.split("_lines", "\n"))
+    return rows.select(*columns, violations.alias("violations"))
+
+
+def feed_report(
+    events: DataFrame, contracts: Sequence[Contract] = CONTRACTS, value: str = "value", contract: str = "contract", *,
+    extra_rules: bool = False,
+) -> DataFrame:
+    """Number of events per contract and broken rule, in one pass; rules nobody breaks are not listed."""
+    rows = events.select(F.col(f"`{value}`").alias("value"), F.col(f"`{contract}`").alias("contract"))
+    broken = feed_violations(rows, contracts, extra_rules=extra_rules)
+    return (
+        broken.select("contract", F.explode("violations").alias("rule"))
+        .groupBy("contract", "rule")
+        .agg(F.count("*").alias("violations"))
     )
-    if spec.allowed:
-        rule = "const" if len(spec.allowed) == 1 else "enum"
-        broken = broken.when(~text.isin(*spec.allowed), f"{spec.name}: {rule}")
-    if spec.pattern:
-        broken = broken.when(~text.rlike(spec.pattern), f"{spec.name}: pattern")
-    if spec.minimum is not None:
-        broken = broken.when(
-            text.try_cast("double") < spec.minimum, f"{spec.name}: minimum"
-        )
-    if spec.min_length is not None:
-        broken = broken.when(F.length(text) < spec.min_length, f"{spec.name}: minLength")
-    if spec.instant:
-        broken = broken.when(~_is_date_time(text), f"{spec.name}: format")
-    return broken
 
 
 def contract_violations(
     events: DataFrame, contract: Contract, value: str = "value", *, extra_rules: bool = False
 ) -> DataFrame:
-    """Add ``violations``, the broken rules of a JSON event as ``name: rule`` texts.
-
-    A property reports the first rule it breaks. Text that is not a JSON object breaks
-    ``event: type`` only. Properties the contract does not know break
-    ``additionalProperties``.
-    """
-    columns = events.columns
-    parsed = with_json(events, value, "_event", *columns)
-    keys = F.map_keys(F.try_variant_get("_event", "$", "map<string,variant>"))
-    parsed = computed_once(parsed, F.struct(keys.alias("_keys")), *columns, "_event")
-    event = F.col("_event")
-    known = F.array(*(F.lit(spec.name) for spec in contract.fields))
-    checks = [_violation(spec, event) for spec in contract.fields]
-    checks.append(
-        F.when(
-            F.size(F.array_except("_keys", known)) > 0, f"{contract.name}: additionalProperties"
-        )
-    )
-    if extra_rules:
-        for text, holds in contract.extra_rules:
-            rule = holds(lambda name: F.try_variant_get(event, f"$.{name}", "string"))
-            checks.append(F.when(~rule, f"{contract.name}: {text}"))
-    # One text per row, joined and split again: filtering nulls from an array needs a lambda.
-    is_object = event.isNotNull() & F.col("_keys").isNotNull()
-    joined = F.when(is_object, F.concat_ws("\n", *checks)).otherwise("event: type")
-    checked = computed_once(parsed, F.struct(joined.alias("_joined")), *columns)
-    return checked.select(
-        *columns,
-        F.when(F.col("_joined") == "", F.array().cast("array<string>"))
-        .otherwise(F.split("_joined", "\n"))
-        .alias("violations"),
-    )
+    """``feed_violations`` of events that all have one contract."""
+    named = events.withColumn("_contract", F.lit(contract.name))
+    return feed_violations(named, [contract], value, "_contract", extra_rules=extra_rules).drop("_contract")
 
 
 def contract_report(
     events: DataFrame, contract: Contract, value: str = "value", *, extra_rules: bool = False
 ) -> DataFrame:
-    """Number of events breaking each rule; rules nobody breaks are not listed."""
-    broken = contract_violations(events.select(value), contract, value, extra_rules=extra_rules)
-    return (
-        broken.select(F.explode("violations").alias("rule"))
-        .groupBy("rule")
-        .agg(F.count("*").alias("violations"))
-        .select(F.lit(contract.name).alias("contract"), "rule", "violations")
-    )
+    """``feed_report`` of events that all have one contract."""
+    named = events.select(F.col(f"`{value}`").alias("value"), F.lit(contract.name).alias("contract"))
+    return feed_report(named, [contract], extra_rules=extra_rules)
 
 
 def unsupported_symbols(events: DataFrame, symbols: tuple[str, ...]) -> DataFrame:

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 
+from marketloom.functions import jsonschema as contracts_schema
 from marketloom.operators import contracts
 from marketloom.operators.contracts import (
     KLINE_CONTRACT,
@@ -95,3 +98,114 @@ def test_report_counts_per_rule(spark):
 def test_symbol_list(spark):
     frame = spark.createDataFrame([("A",), ("B",), (None,)], "symbol STRING")
     assert contracts.unsupported_symbols(frame, ("A",)).count() == 2
+
+
+# --- contracts as files ------------------------------------------------------------------
+
+
+def read_nothing(file):
+    raise FileNotFoundError(file)
+
+
+def breaks(spark, document, *texts, read=read_nothing):
+    """The broken rules of each text under a contract given as a document."""
+    contract = contracts.contract_of("own", document, read)
+    rows = contract_violations(messages(spark, *texts), contract).orderBy("id").collect()
+    return [row.violations for row in rows]
+
+
+KEYWORD_CASES = [
+    ({"type": "integer"}, ["3", "3.0", "-1"], ["3.5", '"3"', "true", "null", "[]"], "type"),
+    ({"type": ["string", "null"]}, ['"a"', "null"], ["1", "{}"], "type"),
+    ({"const": 2}, ["2", "2.0"], ["3", '"2"', "null"], "const"),
+    ({"const": None}, ["null"], ["0", '""'], "const"),
+    ({"enum": ["a", 1, True]}, ['"a"', "1", "true"], ['"b"', "2", "false", '"1"'], "enum"),
+    ({"minimum": 2}, ["2", "2.5", '"1"'], ["1", "-7"], "minimum"),
+    ({"exclusiveMinimum": 2}, ["2.5"], ["2"], "exclusiveMinimum"),
+    ({"maximum": 2}, ["2", '"9"'], ["2.5"], "maximum"),
+    ({"exclusiveMaximum": 2}, ["1"], ["2"], "exclusiveMaximum"),
+    ({"minLength": 2}, ['"ab"', "1"], ['"a"', '""'], "minLength"),
+    ({"maxLength": 2}, ['"ab"', '"😀é"', "100"], ['"abc"'], "maxLength"),
+    ({"pattern": "^[A-Z]+$"}, ['"AB"', "1"], ['"Ab"', r'"AB\n"', '""'], "pattern"),
+    ({"pattern": "b"}, ['"abc"'], ['"xyz"'], "pattern"),
+    ({"format": "date"}, ['"2024-02-29"', "1"], ['"2023-02-29"', '"2024-2-9"'], "format"),
+    ({"format": "date-time"}, ['"2024-02-29T01:02:03Z"'], ['"2024-02-30T01:02:03Z"', '"2024-02-29"'], "format"),
+]
+
+
+@pytest.mark.parametrize("rules, good, bad, keyword", KEYWORD_CASES, ids=[f"{c[3]} {i}" for i, c in enumerate(KEYWORD_CASES)])
+def test_a_keyword(spark, rules, good, bad, keyword):
+    document = {"type": "object", "properties": {"x": {"description": "no rule", **rules}}}
+    texts = [f'{{"x":{value}}}' for value in [*good, *bad]]
+    assert breaks(spark, document, *texts) == [[]] * len(good) + [[f"x: {keyword}"]] * len(bad)
+
+
+def test_nested_objects_and_references(spark):
+    shared = {"$defs": {"name": {"type": "string", "minLength": 1}, "loop": {"$ref": "#/$defs/loop"}}}
+    document = {
+        "type": "object", "required": ["who"], "properties": {
+            "who": {
+                "type": "object", "additionalProperties": False, "required": ["first name"],
+                "properties": {"first name": {"$ref": "common.json#/$defs/name"}, "age": {"$ref": "#/$defs/age"}},
+            },
+        },
+        "$defs": {"age": {"type": "integer", "minimum": 0}},
+    }
+    texts = [
+        '{"who":{"first name":"A","age":3},"more":1}', '{"who":{"first name":"","age":-1}}', '{"who":{"age":1,"x":2}}',
+        '{"who":7}', "{}",
+    ]
+    found = breaks(spark, document, *texts, read={"common.json": shared}.__getitem__)
+    assert found == [
+        [], ["who.first name: minLength", "who.age: minimum"],
+        ["who.first name: required", "own.who: additionalProperties"], ["who: type"], ["who: required"],
+    ]
+    circle = {"type": "object", "properties": {"x": {"$ref": "#/$defs/loop"}}, **shared}
+    with pytest.raises(contracts_schema.UnknownKeyword):
+        contracts.contract_of("own", circle)
+
+
+@pytest.mark.parametrize("document", [
+    {"type": "object", "properties": {"x": {"multipleOf": 2}}},
+    {"type": "object", "properties": {"x": {"type": "text"}}},
+    {"type": "object", "properties": {"x": {"format": "email"}}},
+    {"type": "object", "properties": {"x": {"const": [1]}}},
+    {"type": "object", "properties": {"x": {"enum": [{}]}}},
+    {"type": "object", "oneOf": []},
+    {"type": "array"},
+    {"type": "object", "required": ["y"], "properties": {}},
+    {"type": "object", "additionalProperties": {"type": "string"}},
+])
+def test_what_is_not_checked_raises(document):
+    with pytest.raises(contracts_schema.UnknownKeyword):
+        contracts.contract_of("own", document)
+
+
+def test_a_contract_file_of_ones_own(spark, tmp_path):
+    (tmp_path / "shared.json").write_text(json.dumps({"$defs": {"id": {"type": "integer"}}}))
+    document = {"type": "object", "required": ["id"], "properties": {"id": {"$ref": "shared.json#/$defs/id"}}}
+    (tmp_path / "order_v1.json").write_text(json.dumps(document))
+    contract = contracts.read_contract(spark, f"{tmp_path}/order_v1.json")
+    assert contract.name == "order_v1"
+    rows = contract_report(messages(spark, '{"id":1}', '{"id":"1"}', "{}"), contract).collect()
+    assert {(r.contract, r.rule, r.violations) for r in rows} == {("order_v1", "id: type", 1), ("order_v1", "id: required", 1)}
+
+
+def test_a_mixed_feed_picks_the_contract_by_row(spark):
+    feed = spark.createDataFrame([
+        ("trade_event_v1", json.dumps(trade_event(symbol="x"))), ("kline_event_v1", json.dumps(kline_event())),
+        ("ticker_event_v1", json.dumps(ticker_event(trade_count=-1))), ("kline_event_v1", "[]"),
+        ("another", json.dumps(trade_event())), (None, "{}"), ("trade_event_v1", None),
+    ], "contract STRING, value STRING")
+    rows = contracts.feed_report(feed).collect()
+    assert {(r.contract, r.rule): r.violations for r in rows} == {
+        ("trade_event_v1", "symbol: pattern"): 1, ("ticker_event_v1", "trade_count: minimum"): 1,
+        ("kline_event_v1", "event: type"): 1, ("another", "event: contract"): 1, (None, "event: contract"): 1,
+        ("trade_event_v1", "event: type"): 1,
+    }
+
+
+def test_the_feed_is_parsed_once(spark):
+    feed = spark.createDataFrame([("trade_event_v1", "{}")], "contract STRING, value STRING")
+    plan = contracts.feed_report(feed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "Join" not in plan and "Union" not in plan

@@ -128,15 +128,21 @@ def test_products_are_those_of_decimal_arithmetic(spark):
         point = random.randint(0, len(digits))
         return digits[:point] + "." + digits[point:] + random.choice(["", "", "e3", "E-7", "e+12"])
 
-    rows = [(number(), number()) for _ in range(400)]
+    def long_number():
+        digits = "".join(random.choices("0123456789", k=random.randint(1, 90)))
+        return random.choice(["", "-"]) + digits + "." + "".join(random.choices("0123456789", k=random.randint(0, 90)))
+
+    rows = [(number(), number()) for _ in range(400)] + [(long_number(), random.choice([number, long_number])()) for _ in range(300)]
+    rows += [("9" * 40, "9" * 40), ("5" * 29, "2"), ("0" * 50, "7" * 50), ("0." + "0" * 60, "7"), ("1" + "0" * 80, "1")]
     frame = spark.createDataFrame(rows, "l STRING, r STRING")
     found = frame.select("l", "r", product_text(F.col("l"), F.col("r")).alias("p")).collect()
     assert [(r.l, r.r, r.p) for r in found] == [(a, b, format(Decimal(a) * Decimal(b), "f")) for a, b in rows]
 
 
 def test_a_product_that_cannot_be_written_is_an_error(spark):
-    frame = messages(spark, trade_message(p="1" * 30, q="2" * 12), trade_message(p="1e-400", q="1"))
+    frame = messages(spark, trade_message(p="1e1000001", q="2"), trade_message(p="1e-400", q="1"), trade_message(p="1" * 30, q="2" * 12))
     rows = normalize(frame, keep=("id",)).orderBy("id").collect()
+    assert rows[2].error_type is None
     assert (rows[0].error_type, rows[0].error_message) == ("VALIDATION_ERROR", "trade_value has too many digits")
     assert rows[1].error_type is None
 
