@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import inputs
 from checks.layers import (
@@ -24,7 +25,7 @@ from marketloom import config, schemas
 from marketloom.functions import signals
 from marketloom.operators import alerts, windows
 from marketloom.operators.spikes import volume_spikes
-from marketloom.plans import inspection, ranges, serving
+from marketloom.plans import footers, inspection, ranges, serving
 
 NOW = datetime(2024, 1, 25, 12, 0, tzinfo=timezone.utc)
 START = ranges.range_start("last_week", NOW)
@@ -77,6 +78,24 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+_BY_DAY: dict[tuple[str, str], str] = {}
+
+
+def gold_by_day(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str], dict[str, StructType]]:
+    """Paths and schemas of the same tables as the streams store them, a folder per day, and of one that is not there."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BY_DAY:
+        root = inputs.work_dir(spark, "gold-days")
+        for name, table in gold_tables(spark, sf_dir).items():
+            at = next(c for c in serving.TIME_COLUMNS if c in table.columns)
+            dated = table.withColumn(footers.DAY, F.to_date(at))
+            dated.repartition(footers.DAY).write.partitionBy(footers.DAY).parquet(f"{root}/{name}")
+        _BY_DAY[key] = root
+    names = [*config.GOLD_TABLES, "gold_table_not_written"]
+    every = {**schemas.TABLE_SCHEMAS, "gold_table_not_written": schemas.SPIKES}
+    return {name: f"{_BY_DAY[key]}/{name}" for name in names}, every
+
+
 def snapshot(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     measures = five_minutes(spark, sf_dir)
     return serving.market_snapshot(
@@ -339,8 +358,7 @@ health AS (
       {t('latest')} AS latest_time FROM health""",
 )
 def q13_table_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {**gold_tables(spark, sf_dir), "gold_table_not_written": None}
-    return serving.table_health(tables, start=START)
+    return footers.stored_health(spark, *gold_by_day(spark, sf_dir), start=START)
 
 
 _FRESH_SQL = """CASE WHEN {at} IS NULL THEN 'NO_DATA'
@@ -543,8 +561,7 @@ _COLUMN_COUNTS = f"""(VALUES ('{config.GOLD_OHLC}', 10), ('{config.GOLD_SUMMARY}
       CAST(c.n AS INTEGER) AS columns FROM health JOIN {_COLUMN_COUNTS} ON c.name = "table" """,
 )
 def q25_table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {**gold_tables(spark, sf_dir), "gold_table_not_written": None}
-    return inspection.table_inventory(tables)
+    return footers.stored_inventory(spark, *gold_by_day(spark, sf_dir)).drop("path")
 
 
 @query(

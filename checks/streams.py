@@ -24,7 +24,7 @@ from marketloom.operators import windows
 from marketloom.operators.capture import capture
 from marketloom.plans import inspection
 from marketloom.sources import bus, sinks, tables
-from marketloom.streaming import layers
+from marketloom.streaming import layers, state, supervision
 
 _RUNS: dict[tuple[str, str], Settings] = {}
 
@@ -58,9 +58,10 @@ def all_layers(spark: SparkSession, sf_dir: str) -> Settings:
         alert_bus = bus.Bus(format="parquet", path=f"{root}/alerts")
         layers.drain(layers.start_bronze(spark, settings, records))
         layers.drain(layers.start_silver(spark, settings))
-        layers.drain(layers.start_trade_windows(spark, settings))
-        layers.drain(layers.start_window_tables(spark, settings))
-        layers.drain(layers.start_spikes(spark, settings))
+        with supervision.progress_kept(spark, f"{root}/progress"):
+            layers.drain(layers.start_trade_windows(spark, settings))
+            layers.drain(layers.start_window_tables(spark, settings))
+            layers.drain(layers.start_spikes(spark, settings))
         layers.drain(layers.start_volume_alerts(spark, settings, alert_bus))
         layers.drain(
             layers.start_price_alerts(
@@ -469,6 +470,29 @@ def w3_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").alias("windows"), F.max("window_end").alias("last_closed"))
 
 
+# Rows whose windows the last watermark has not passed are in the state, and nothing else.
+@query(
+    "w4_open_windows",
+    f"""WITH {MSG_TRADES}, {measures("5 minutes", name="every")}
+    SELECT symbol, {t('ws')} AS window_start, {t('we')} AS window_end FROM every WHERE we > {_CLOSED}""",
+)
+def w4_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the measures' query still holds after a bounded run, from its state store."""
+    settings = all_layers(spark, sf_dir)
+    return state.open_windows(spark, settings.checkpoint("gold/window_measures"))
+
+
+@query(
+    "w4_dedup_keys",
+    f"""WITH {MSG_TRADES} SELECT symbol, trade_id, {t("event_time + INTERVAL '10 minutes'")} AS expires
+    FROM trades WHERE event_time + INTERVAL '10 minutes' > {_CLOSED}""",
+)
+def w4_dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trades that the dedup still remembers, and until when."""
+    settings = all_layers(spark, sf_dir)
+    return state.dedup_keys(spark, settings.checkpoint("silver/trades"))
+
+
 # --- alerts and catalog ------------------------------------------------------------------
 
 
@@ -588,3 +612,21 @@ def s14_layer_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     return inventory.select("table", "rows")
+
+
+@query(
+    "s14_progress_rows",
+    f"""WITH {_STREAM_GOLD}
+    SELECT query, (SELECT count(*) FROM trades) AS input_rows, 0 AS failures
+    FROM (VALUES ('{config.GOLD_OHLC}'), ('{config.GOLD_WINDOW_MEASURES}')) AS v(query)
+    UNION ALL SELECT query, (SELECT count(*) FROM m), 0
+    FROM (VALUES ('{config.GOLD_SUMMARY}'), ('{config.GOLD_VOLATILITY}')) AS v(query)""",
+)
+def s14_progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the kept progress says that the queries of the metric layer have read."""
+    settings = all_layers(spark, sf_dir)
+    rows = supervision.progress(spark, f"{settings.gold_path.rsplit('/', 1)[0]}/progress")
+    names = (config.GOLD_OHLC, config.GOLD_WINDOW_MEASURES, config.GOLD_SUMMARY, config.GOLD_VOLATILITY)
+    return rows.where(F.col("query").isin(*names)).groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.count("error").alias("failures")
+    )

@@ -20,6 +20,7 @@ from marketloom.operators.capture import capture
 from marketloom.sources.bus import Bus, publish, stream_topics
 from marketloom.sources.sinks import append_batch_once, append_stream, application_id, paced
 from marketloom.sources.tables import ensure_table, read_table_or_empty, stream_table
+from marketloom.streaming.supervision import progress_kept, supervise
 
 Starter = Callable[[SparkSession, Settings], list[StreamingQuery]]
 
@@ -210,6 +211,15 @@ def _application(spark: SparkSession, settings: Settings) -> str:
 
 
 def _write_spikes(batch: DataFrame, batch_id: int, settings: Settings) -> None:
+    # Its bounds and its join both read the batch, which is computed once.
+    batch.persist()
+    try:
+        _write_rated(batch, batch_id, settings)
+    finally:
+        batch.unpersist()
+
+
+def _write_rated(batch: DataFrame, batch_id: int, settings: Settings) -> None:
     spark = batch.sparkSession
     summary = read_table_or_empty(
         spark,
@@ -358,22 +368,17 @@ def start_price_alerts(
 
 def drain(queries: Iterable[StreamingQuery]) -> None:
     """Wait until every query of a bounded run has ended."""
-    for query in queries:
-        query.awaitTermination()
+    supervise(queries, bounded=True)
 
 
-def run_layer(spark: SparkSession, settings: Settings, start: Starter) -> None:
-    """Run a layer until one of its queries ends, then stop the others."""
-    queries = start(spark, settings)
-    try:
-        if settings.available_now:
-            drain(queries)
-        else:
-            spark.streams.awaitAnyTermination()
-    finally:
-        for query in queries:
-            if query.isActive:
-                query.stop()
+def run_layer(spark: SparkSession, settings: Settings, start: Starter, *, progress_path: str | None = None) -> None:
+    """Run a layer until one of its queries ends, or all of a bounded run; then stop the others.
+
+    The error of a query that fails is raised. With ``progress_path`` the progress of the queries
+    is kept as a table there (``supervision.progress``).
+    """
+    with progress_kept(spark, progress_path):
+        supervise(start(spark, settings), bounded=settings.available_now)
 
 
 LAYERS: dict[str, Starter] = {
