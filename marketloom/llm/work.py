@@ -46,7 +46,16 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
         rows.write.parquet(path)
     finally:
         spark.conf.set(FREES_SHUFFLES, before)
-    return spark.read.schema(rows.schema).parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete stored tables of which nothing is read any more, since all that did is stored itself."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
