@@ -22,7 +22,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 def test_all_are_registered():
     names = entry.queries()
     assert "pipeline" in names and set(queries.QUERIES) <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "substring_dedup", "packing"]
 
 
