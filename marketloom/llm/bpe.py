@@ -168,7 +168,8 @@ class MergeList:
         most = 0
         for a, b in merges:
             need = max(needs.get(a, 0) - _width(b), needs.get(b, 0), taken.get(b, 0))
-            taken[a] = max(taken.get(a, 0), _width(b) + needs.get(b, 0))
+            # Whether b is there to be taken depends in turn on what could take b.
+            taken[a] = max(taken.get(a, 0), _width(b) + max(needs.get(b, 0), taken.get(b, 0)))
             needs[a + b] = max(needs.get(a + b, 0), need)
             most = max(most, need, taken[a])
         return most + 1

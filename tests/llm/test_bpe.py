@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from marketloom.llm.bpe import Decoder, Encoder, Transducer, encode_digests
+from marketloom.llm.bpe import Decoder, Encoder, MergeList, Transducer, encode_digests
 from marketloom.llm.packing import LibraryIds, best_two_fit, pack_documents
 from marketloom.llm.queries import WORD_BPE
 
@@ -132,3 +132,31 @@ def test_packed_documents(spark, library):
     count = check_packing(None, *zip(*((r.sequence_id, r.offset, r.length) for r in found), strict=True), 2048)
     assert count <= -(-sum(r.length for r in found) // 2048) + 1
     assert pack_documents(docs.limit(0), WORD_BPE).count() == 0
+
+
+def naive(word, ranks):
+    """Merges of the lowest rank first, the leftmost of equal ones."""
+    parts = [*word[:-1], word[-1] + "</w>"]
+    while True:
+        found = min(((ranks.get(pair, 10**9), i) for i, pair in enumerate(zip(parts, parts[1:], strict=False))), default=(10**9, 0))
+        if found[0] == 10**9:
+            return parts
+        parts[found[1] : found[1] + 2] = ["".join(parts[found[1] : found[1] + 2])]
+
+
+@pytest.mark.parametrize("size", [5, 26])
+def test_lookahead_over_chains_of_falling_ranks(size):
+    """Whether the first two letters merge is decided by the last ones."""
+    letters = "abcdefghijklmnopqrstuvwxyz"[:size]
+    merges = [(x, y) for x, y in zip(letters, letters[1:], strict=False)][::-1]
+    names = [*letters, *(x + "</w>" for x in letters), *(x + y for x, y in merges)]
+    work = MergeList({name: i for i, name in enumerate(names)}, merges)
+    assert work.lookahead >= size - 1
+    ranks = {pair: i for i, pair in enumerate(merges)}
+    chooser = random.Random(size)
+    words = [letters + letters[0] + letters[-1], letters[:-1] + "a", letters * 9]
+    words += ["".join(letters[i : i + chooser.randrange(1, size)] for i in chooser.choices(range(size), k=30)) for _ in range(40)]
+    for word in words:
+        transducer = Transducer(work)
+        found = [*transducer.feed(word[:-1]), *transducer.finish(word[-1])]
+        assert [work.name[i] for i in found] == naive(word, ranks)
