@@ -10,6 +10,7 @@ import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import inputs
 from checks.inputs import FEED
@@ -23,7 +24,7 @@ from marketloom.config import Settings
 from marketloom.operators import windows
 from marketloom.operators.capture import capture
 from marketloom.plans import inspection
-from marketloom.sources import bus, sinks, tables
+from marketloom.sources import bus, commits, sinks, tables
 from marketloom.streaming import layers, state, supervision
 
 _RUNS: dict[tuple[str, str], Settings] = {}
@@ -246,6 +247,30 @@ def s9_two_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("application", "symbol", "window_start", "total_volume")
 
 
+@query(
+    "s9_commit_log",
+    f"""WITH {GOLD} SELECT a AS application, symbol, {t('ws')} AS window_start,
+      {_num('volume')} AS total_volume FROM m, (VALUES ('one'), ('two/2')) AS v(a)""",
+)
+def s9_commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that count by their commit: killed writers, replays, and a compaction between them."""
+    path = inputs.work_dir(spark, "commits")
+    summary = windows.trade_summary(windows.window_measures(inputs.trades(spark, sf_dir)))
+    summary = summary.select("symbol", "window_start", "total_volume")
+    first = F.col("symbol").isin("CLICK", "VIEW")
+    stored = StructType([*summary.schema.fields, StructField("writer", StringType(), False)])
+    for writer in ("one", "two/2"):
+        rows = summary.withColumn("writer", F.lit(writer))
+        for batch_id, batch in ((0, rows.where(first)), (1, rows.where(~first))):
+            commits.write_attempt(batch, batch_id, path, writer)
+            for _ in range(2):
+                commits.append_committed(batch, batch_id, path, application=writer)
+        commits.compact(spark, path, stored, writer)
+        commits.append_committed(rows, 1, path, application=writer)
+    found = commits.read_committed(spark, path, stored)
+    return found.select(F.col("writer").alias("application"), "symbol", "window_start", "total_volume")
+
+
 @query(
     "s10_append_and_restart",
     f"""WITH {TRADES} SELECT symbol, trade_id FROM trades""",
@@ -314,6 +339,25 @@ def t6_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("symbol", "trade_id", "event_time")
 
 
+@query(
+    "t6_dedup_late",
+    f"WITH {MSG_TRADES} SELECT symbol, trade_id, {t('event_time')} AS event_time FROM trades",
+)
+def t6_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half of the records first, then all: late records are kept, late copies dropped."""
+    root = inputs.work_dir(spark, "dedup")
+    settings = dataclasses.replace(settings_in(root), max_files_per_trigger="1")
+    records = inputs.bus_records(spark, sf_dir)
+    middle = records.select(F.percentile_approx(F.unix_micros("timestamp"), 0.5).alias("middle"))
+    newer = records.join(middle, F.unix_micros("timestamp") > F.col("middle")).drop("middle")
+    again = records.withColumn("offset", F.col("offset") + F.lit(1 << 40))
+    for delivery in (newer, again):
+        delivery.coalesce(1).write.mode("append").parquet(f"{root}/bus")
+        layers.drain(layers.start_bronze(spark, settings, f"{root}/bus"))
+        layers.drain(layers.start_keyed_trades(spark, settings))
+    return layers.read_keyed_trades(spark, settings).select("symbol", "trade_id", "event_time")
+
+
 @query(
     "t7_watermarked_trades",
     f"""WITH {MSG_TRADES} SELECT symbol, {t('event_time')} AS event_time, trade_id,

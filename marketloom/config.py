@@ -32,6 +32,7 @@ BRONZE_INVALID = "bronze_market_invalid_events"
 SILVER_TRADES = "silver_market_trades"
 SILVER_KLINES = "silver_market_klines"
 SILVER_TICKERS = "silver_market_tickers"
+SILVER_KEYED_TRADES = "silver_market_trades_keyed"
 GOLD_OHLC = "gold_symbol_1min_ohlc"
 GOLD_SUMMARY = "gold_symbol_5min_trade_summary"
 GOLD_VOLATILITY = "gold_symbol_5min_volatility"
@@ -78,6 +79,8 @@ class Settings:
     fail_on_data_loss: str = "false"
     max_offsets_per_trigger: str | None = None
     silver_watermark: str = "10 minutes"
+    #: Days between a trade and the latest copy of it that the keyed table looks for.
+    copy_reach_days: int = 1
     gold_watermark: str = "10 minutes"
     max_files_per_trigger: str | None = None
     trigger_interval: str | None = None
@@ -122,6 +125,7 @@ class Settings:
             fail_on_data_loss=env.get("BRONZE_FAIL_ON_DATA_LOSS", "false"),
             max_offsets_per_trigger=env.get("BRONZE_MAX_OFFSETS_PER_TRIGGER"),
             silver_watermark=env.get("SILVER_WATERMARK_DELAY", "10 minutes"),
+            copy_reach_days=int(env.get("SILVER_COPY_REACH_DAYS", "1")),
             gold_watermark=env.get("GOLD_WATERMARK_DELAY", "10 minutes"),
             max_files_per_trigger=env.get(f"{prefix}_MAX_FILES_PER_TRIGGER"),
             trigger_interval=env.get(f"{prefix}_TRIGGER_PROCESSING_TIME"),

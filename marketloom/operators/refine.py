@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -194,6 +195,30 @@ def deduplicate(rows: DataFrame, key: Sequence[str], order: Sequence[Column | st
     return first_per_key(rows, key, order)
 
 
+def unseen(
+    batch: DataFrame, stored: DataFrame, key: Sequence[str], order: Sequence[str], *,
+    day: str, reach_days: int = 1,
+) -> DataFrame:
+    """The first row of every key of ``batch`` that ``stored`` does not have, however late it is.
+
+    ``stored`` is partitioned by the date column ``day``. Two dates of the batch are passed to its
+    scan as literals, ``reach_days`` wider on either side, so a copy is found if its day and the
+    stored row's are no further apart than that, and no other day is read. Stored keys first meet
+    the keys of the batch, where Spark broadcasts those of a small batch or filters the scan by a
+    Bloom filter of those of a large one; only keys found twice go on. No state is kept. The
+    batch is read three times, so persist it. Rows with a null in the key are never copies of a
+    stored row; an empty batch gives no rows.
+    """
+    first = first_per_key(batch, key, order)
+    bounds = batch.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if bounds["first"] is None:
+        return first
+    reach = timedelta(days=reach_days)
+    near = stored.where(F.col(day).between(F.lit(bounds["first"] - reach), F.lit(bounds["last"] + reach)))
+    seen = near.select(*key).join(first.select(*key), list(key), "left_semi").distinct()
+    return first.join(seen, list(key), "left_anti").select(*batch.columns)
+
+
 def _refined(
     typed: DataFrame,
     good: Column,

@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from marketloom import config, schemas
 from marketloom.config import Settings
 from marketloom.operators import alerts, refine, spikes, windows
 from marketloom.operators.capture import capture
+from marketloom.sources import commits
 from marketloom.sources.bus import Bus, publish, stream_topics
 from marketloom.sources.sinks import append_batch_once, append_stream, application_id, paced
 from marketloom.sources.tables import ensure_table, read_table_or_empty, stream_table
@@ -42,6 +44,7 @@ def _append(
 
 #: Column of each stored table whose day it is partitioned by, and the partition's name.
 EVENT_DATE, WINDOW_DATE = "event_date", "window_date"
+KEYED_TRADES = StructType([*schemas.TRADES.fields, StructField(EVENT_DATE, DateType())])
 
 
 def _dated(rows: DataFrame, time_column: str, date: str) -> DataFrame:
@@ -132,6 +135,46 @@ def start_silver(spark: SparkSession, settings: Settings) -> list[StreamingQuery
     ]
 
 
+def _keep_new_trades(batch: DataFrame, batch_id: int, settings: Settings) -> None:
+    spark = batch.sparkSession
+    path = settings.silver(config.SILVER_KEYED_TRADES)
+    application = _application(spark, config.SILVER_KEYED_TRADES, settings.checkpoint("silver/keyed_trades"))
+    if commits.is_committed(spark, path, application, batch_id):
+        return
+    stored = commits.read_committed(spark, path, KEYED_TRADES)
+    batch.persist()
+    try:
+        new = refine.unseen(
+            batch, stored, refine.TRADE_KEY, ("event_time", "bronze_partition", "bronze_offset"),
+            day=EVENT_DATE, reach_days=settings.copy_reach_days,
+        )
+        attempt = commits.write_attempt(new, batch_id, path, application, (EVENT_DATE,))
+        commits.commit(spark, path, application, batch_id, attempt)
+    finally:
+        batch.unpersist()
+
+
+def start_keyed_trades(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
+    """Typed trades once per key for good: late trades are kept and late copies dropped.
+
+    The watermarked query of ``start_silver`` drops both. This one keeps no state; every batch is
+    held against the stored keys of its days, and a commit file makes it count.
+    """
+    rows = refine.refine_trades(stream_raw(spark, settings, settings.feed.trades_topic), dedup=False)
+    writer = (
+        _dated(rows, "event_time", EVENT_DATE)
+        .writeStream.queryName(config.SILVER_KEYED_TRADES)
+        .foreachBatch(lambda batch, batch_id: _keep_new_trades(batch, batch_id, settings))
+        .option("checkpointLocation", settings.checkpoint("silver/keyed_trades"))
+    )
+    return [paced(writer, settings.trigger_interval, settings.available_now).start()]
+
+
+def read_keyed_trades(spark: SparkSession, settings: Settings) -> DataFrame:
+    """What ``start_keyed_trades`` has committed."""
+    return commits.read_committed(spark, settings.silver(config.SILVER_KEYED_TRADES), KEYED_TRADES)
+
+
 # --- metric layer ------------------------------------------------------------------------
 
 
@@ -203,11 +246,10 @@ def start_window_tables(spark: SparkSession, settings: Settings) -> list[Streami
     ]
 
 
-def _application(spark: SparkSession, settings: Settings) -> str:
+def _application(spark: SparkSession, name: str, checkpoint: str) -> str:
     """The running query by its id, which a fresh checkpoint changes, else by its checkpoint."""
-    name = "gold-volume-spike-signals"
     query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"{name}-{query_id}" if query_id else application_id(name, settings.checkpoint("gold/volume_spikes"))
+    return f"{name}-{query_id}" if query_id else application_id(name, checkpoint)
 
 
 def _write_spikes(batch: DataFrame, batch_id: int, settings: Settings) -> None:
@@ -233,7 +275,7 @@ def _write_rated(batch: DataFrame, batch_id: int, settings: Settings) -> None:
         spikes.volume_spikes(batch, history, lookback_minutes=lookback),
         batch_id,
         settings.gold(config.GOLD_SPIKES),
-        application=_application(spark, settings),
+        application=_application(spark, "gold-volume-spike-signals", settings.checkpoint("gold/volume_spikes")),
         table_format=settings.table_format,
     )
 
