@@ -16,7 +16,6 @@ instead of all of them, which leaves the components the same.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.components import components
+from marketloom.llm.identity import keyed
 from marketloom.llm.work import stored
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 SEGMENTS, SEGMENT_BITS = 4, 16
 #: Rows of a key above which it is cut into blocks, and fingerprints in a block.
 HOT, BLOCK = 24, 512
-#: What separates words, as bytes.
-WHITE = re.compile(rb"[\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 CHUNK = 1 << 16
 
@@ -186,8 +184,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; rows without an id all stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"))
-    dropped = dropped.distinct()
-    return docs.join(dropped, docs[f"`{id_col}`"].cast("long") == dropped["_id"], "left_anti")
+    """The rows of ``docs`` that are the first document of their component.
+
+    A document is an id with a text: rows that agree in both stay or go together, and rows of one
+    id with different texts are judged apart (see ``identity.keyed`` for which comes first).
+    Rows without an id all stay.
+    """
+    rows, _ = keyed(docs, id_col, text_col)
+    found = near_duplicates(rows, "_key", "_text")
+    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_key"))
+    return rows.join(dropped.distinct(), "_key", "left_anti").select("_row.*")
