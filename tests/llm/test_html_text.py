@@ -6,9 +6,10 @@ import time
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
-from marketloom.llm.html_text import blocks_of, decide, extract, features_of, labelled_blocks, main_text, tree
+from marketloom.llm.html_text import FEATURES, blocks_of, decide, extract, features_of, grow, labelled_blocks, main_text, tree
 
 LONG = "word " * 60
 PAGE = (
@@ -44,10 +45,47 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+TEXT = LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article class='post has-sidebar'><p>{LONG}</p></article>", TEXT),
+        (f"<article><p>{LONG}</p><p title='a hidden gem'>{LONG}</p></article>", f"{TEXT}\n{TEXT}"),
+        (f"<article><div aria-hidden='false'><p>{LONG}</p></div></article>", TEXT),
+        (f"<article><p>{LONG}</p><div aria-hidden='true'>{LONG}</div></article>", TEXT),
+        (f"<article><div data-id='menu-3' data-class=ad><p>{LONG}</p></div></article>", TEXT),
+        (f"<main><div id='social-history'><p>{LONG}</p></div></main>", TEXT),
+        (f"<body><form action=/><nav><a href=/>a</a></nav><p>{LONG}</p><p>{LONG}</p></form></body>", f"{TEXT}\n{TEXT}"),
+        (f"<p>{LONG}</p><p>{LONG}</p><form><p>Your name please</p></form>", f"{TEXT}\n{TEXT}"),
+        (f"<article><p>{LONG}</p><div class='replies'><p>{LONG}</p></div></article>", TEXT),
+        (f"<article><p>{LONG}</p></article><article class='comment'><p>{LONG}</p></article>", TEXT),
+        (f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be<script>y</script>. {LONG}</p></article>", f"Let x=1 be. {TEXT}"),
+    ],
+)
+def test_names_and_attributes(page, text):
+    assert main_text(page) == text
+
+
+def f1(tree, rows, labels):
+    found = np.array([decide(tree, row) for row in rows.tolist()])
+    return 2 * (found & labels).sum() / (found.sum() + labels.sum())
+
+
+def test_the_tree_holds_on_other_pages_even_without_names():
+    rows, labels = labelled_blocks()
+    others, other_labels = labelled_blocks(range(1000, 1080))
+    assert len(labels) > 5000 and f1(tree(), others, other_labels) > 0.98
+    named = FEATURES.index("named")
+    rows[:, named] = others[:, named] = 0
+    assert f1(grow(rows, labels), others, other_labels) > 0.9
+
+
 def test_the_tree_learns_its_table():
     rows, labels = labelled_blocks()
     right = [decide(tree(), row) == label for row, label in zip(rows.tolist(), labels.tolist(), strict=True)]
-    assert sum(right) >= len(right) - 1
+    assert sum(right) >= 0.99 * len(right)
 
 
 def test_neighbours_are_features():
