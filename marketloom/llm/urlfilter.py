@@ -24,6 +24,8 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
+#: Wrongly accepted keys that are few enough for any list.
+SOME_KEYS = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,7 +69,8 @@ def _build(keys: DataFrame, count: int, error: float, salt: int) -> Level:
 
 
 def _accepts(level: Level, key: Column) -> Column:
-    words = F.array(*[F.lit(word).cast("long") for word in level.words])
+    # One text that the optimizer folds to one array, however many words there are.
+    words = F.split(F.lit(",".join(map(str, level.words))), ",").cast("array<long>")
     bits = 64 * len(level.words)
 
     def is_set(at: Column) -> Column:
@@ -85,22 +88,36 @@ class Cascade:
         self.levels = levels
 
     @staticmethod
-    def build(listed: DataFrame, universe: DataFrame, error: float = 0.02, most_keys: int = 100_000) -> Cascade:
+    def build(
+        listed: DataFrame, universe: DataFrame, error: float = 0.02, most_keys: int = 100_000,
+        universe_size: int | None = None,
+    ) -> Cascade:
         """``listed`` and ``universe`` have a column ``key`` each.
 
-        The levels are kept inside expressions, so a list of more than ``most_keys`` keys, or
-        as many wrongly accepted ones, raises; lower ``error`` for a larger corpus.
+        The list is a bounded one, of ``most_keys`` keys or an error. The universe may have any size:
+        the first level's rate of wrong answers is at most ``error`` and falls with
+        ``universe_size`` (rows of the universe or more, counted if not given), so that about as many
+        keys are wrongly accepted as are listed; if they are more than ``most_keys`` all the same,
+        that level is built anew with a smaller rate.
         """
         listed = stored(listed.where(F.col("key").isNotNull()).distinct(), "listed-keys")
         count = listed.count()
+        if count > most_keys:
+            raise ValueError(f"a list of {count} keys, more than most_keys={most_keys}")
         if not count:
             return Cascade([])
-        levels = [_build(listed, _bounded(count, most_keys), error, 1)]
-        accepted = universe.where(F.col("key").isNotNull() & _accepts(levels[0], F.col("key")))
-        wrong = stored(accepted.distinct().join(F.broadcast(listed), "key", "left_anti"), "wrong-keys")
+        size = universe.count() if universe_size is None else universe_size
+        rate = min(error, max(count, SOME_KEYS) / max(size, 1))
+        while True:
+            levels = [_build(listed, count, rate, 1)]
+            accepted = universe.where(F.col("key").isNotNull() & _accepts(levels[0], F.col("key")))
+            wrong = stored(accepted.distinct().join(F.broadcast(listed), "key", "left_anti"), "wrong-keys")
+            if wrong.count() <= most_keys:
+                break
+            rate /= 16
         inside, outside = listed, wrong
         while count := outside.count():
-            level = _build(outside, _bounded(count, most_keys), 0.5, len(levels) + 1)
+            level = _build(outside, count, 0.5, len(levels) + 1)
             levels.append(level)
             passing = inside.where(_accepts(level, F.col("key")))
             inside, outside = outside, stored(passing, f"level-{len(levels)}")
@@ -115,12 +132,6 @@ class Cascade:
         return answer
 
 
-def _bounded(count: int, most: int) -> int:
-    if count > most:
-        raise ValueError(f"{count} keys in one level, more than most_keys={most}")
-    return count
-
-
 def _keys(spark: SparkSession, keys: list[str]) -> DataFrame:
     texts = F.array(*[F.lit(key) for key in keys]).cast("array<string>")
     return spark.range(1).select(F.explode(texts).alias("key"))
@@ -146,6 +157,7 @@ def judge_urls(
     rules: tuple[tuple[str, str, str], ...] = RULES,
     id_col: str = "page_id",
     url_col: str = "url",
+    error: float = 0.02,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every row.
 
@@ -153,7 +165,7 @@ def judge_urls(
     with its prefix; the longest rule text wins. A url without a fitting rule is in no list
     and therefore allowed. A null url, or one without ``://``, has empty host and path and
     fits nothing. Rows are kept as they are, repeated ones too; other columns are not read.
-    Rules are a bounded, given list.
+    Rules are a bounded, given list; ``error`` is the most that the first level may answer wrongly.
     """
     spark = pages.sparkSession
     rows = pages.select(
@@ -169,8 +181,10 @@ def judge_urls(
     universe = keyed.select(F.explode("keys").alias("key"))
     listed = _keys(spark, [host + prefix for _, host, prefix in rules])
     blocked = _keys(spark, [host + prefix for verdict, host, prefix in rules if verdict == "block"])
-    in_rules = Cascade.build(listed, universe)
-    in_blocked = Cascade.build(blocked, listed)
+    # A row has a key per pair of those at most, so the keys need not be counted.
+    most = rows.count() * len(labels) * len(lengths)
+    in_rules = Cascade.build(listed, universe, error, universe_size=most)
+    in_blocked = Cascade.build(blocked, listed, error)
     rule = F.get(F.filter("keys", in_rules.contains), 0)
     return keyed.select("page_id", "host", "path", rule.alias("rule")).withColumn(
         "verdict",

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketloom.llm.urlfilter import RULES, Cascade, judge_urls
@@ -66,3 +67,37 @@ def test_no_join_in_a_lookup(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     plan = judge_urls(pages)._jdf.queryExecution().toString()
     assert "Join" not in plan and "Python" not in plan
+
+
+def keys_of(spark, count):
+    return spark.range(count).select(F.concat(F.lit("key "), F.col("id").cast("string")).alias("key"))
+
+
+def test_a_large_corpus_needs_no_other_call(spark):
+    # A size that is far too small makes the first level accept nearly everything at first.
+    universe = keys_of(spark, 400_000)
+    listed = universe.where(F.crc32(F.col("key").cast("binary")) % 1000 == 0)
+    cascade = Cascade.build(listed, universe, error=0.6, most_keys=2000, universe_size=1)
+    said = universe.where(cascade.contains(F.col("key")))
+    assert sorted(r.key for r in said.collect()) == sorted(r.key for r in listed.collect())
+
+
+def test_two_hundred_thousand_wrongly_accepted_keys(spark):
+    universe = keys_of(spark, 300_000)
+    listed = universe.where(F.crc32(F.col("key").cast("binary")) % 1000 == 0)
+    cascade = Cascade.build(listed, universe, error=0.75, most_keys=300_000, universe_size=1)
+    first = Cascade(cascade.levels[:1])
+    assert universe.where(first.contains(F.col("key"))).count() > 100_000
+    said = universe.where(cascade.contains(F.col("key")))
+    assert sorted(r.key for r in said.collect()) == sorted(r.key for r in listed.collect())
+
+
+def test_the_first_level_follows_the_size_of_the_corpus(spark):
+    universe = keys_of(spark, 1000)
+    small, large = (Cascade.build(universe.limit(4), universe, universe_size=n).levels[0] for n in (1000, 10**12))
+    assert small.hashes < 8 and large.hashes > 25 and len(large.words) < 10
+
+
+def test_a_list_above_its_bound_is_an_error(spark):
+    with pytest.raises(ValueError, match="most_keys=10"):
+        Cascade.build(keys_of(spark, 11), keys_of(spark, 5), most_keys=10)
