@@ -370,7 +370,7 @@ def v9_faults_of_all_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         made.append(F.struct(
             F.lit(contract.name).alias("contract"), F.get(F.array(*map(F.lit, texts)), fault).alias("value")
         ))
-    events = inputs.table(spark, sf_dir, "events").select("event_id")
+    events = inputs.spread(inputs.table(spark, sf_dir, "events").select("event_id"))
     return contracts.feed_report(events.select(F.inline(F.array(*made))))
 
 

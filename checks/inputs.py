@@ -25,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly to all cores, before steps that cost far more than the scan.
+
+    A Parquet row group is one task however many rows it has, and a file may have only one.
+    """
+    return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that all executors can reach.
 
@@ -88,7 +96,7 @@ def _text(value: Column) -> Column:
 
 def vendor_messages(events: DataFrame) -> DataFrame:
     """``event_id, at, value``: one vendor message per event, some of them faulty."""
-    rows = feed_events(events)
+    rows = feed_events(spread(events))
     k, price = F.col("k"), F.col("price")
     # The fault of a message by its k. 1 cut-off JSON, 2 an array, 3 unknown
     # type, 4 missing quantity, 5 price not numeric, 6 blank symbol, 7 negative quantity,
@@ -186,7 +194,7 @@ def _positioned(records: DataFrame) -> DataFrame:
 
 def plain_events(events: DataFrame) -> DataFrame:
     """``event_id, kind, value``: normalised JSON with faults of its own, for the validators."""
-    rows = feed_events(events)
+    rows = feed_events(spread(events))
     k, price = F.col("k"), F.col("price")
     # 1 no symbol, 2 no time, 3 time without zone, 4 no id, 5 price not
     # numeric, 6 blank quantity, 7 negative quantity, 8 unknown type, 9 no type.

@@ -49,6 +49,11 @@ def bus_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
     return path
 
 
+def _delivered(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """All messages as bus records, built once for several deliveries of them."""
+    return tables.read_table(spark, bus_folder(spark, sf_dir, f"{root}/feed"), schemas.BUS_RECORD)
+
+
 def all_layers(spark: SparkSession, sf_dir: str) -> Settings:
     """Raw capture to published alerts, each layer drained before the next one starts."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -327,14 +332,14 @@ def s11_date_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t6_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record delivered twice, the second time in a later micro-batch."""
     root = inputs.work_dir(spark, "dedup")
-    settings = dataclasses.replace(settings_in(root), max_files_per_trigger="1")
-    records = inputs.bus_records(spark, sf_dir)
+    settings = settings_in(root)
+    records = _delivered(spark, sf_dir, root)
     again = records.withColumn("offset", F.col("offset") + F.lit(1 << 40))
     for delivery in (records, again):
-        # One file each, so that event times of one delivery are not spread over batches.
-        delivery.coalesce(1).write.mode("append").parquet(f"{root}/bus")
-    layers.drain(layers.start_bronze(spark, settings, f"{root}/bus"))
-    layers.drain(layers.start_silver(spark, settings))
+        # A run of its own, so that event times of one delivery are not spread over batches.
+        delivery.write.mode("append").parquet(f"{root}/bus")
+        layers.drain(layers.start_bronze(spark, settings, f"{root}/bus"))
+        layers.drain(layers.start_silver(spark, settings))
     rows = tables.read_table(spark, settings.silver(config.SILVER_TRADES), schemas.TRADES)
     return rows.select("symbol", "trade_id", "event_time")
 
@@ -346,13 +351,13 @@ def t6_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t6_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newer half of the records first, then all: late records are kept, late copies dropped."""
     root = inputs.work_dir(spark, "dedup")
-    settings = dataclasses.replace(settings_in(root), max_files_per_trigger="1")
-    records = inputs.bus_records(spark, sf_dir)
+    settings = settings_in(root)
+    records = _delivered(spark, sf_dir, root)
     middle = records.select(F.percentile_approx(F.unix_micros("timestamp"), 0.5).alias("middle"))
     newer = records.join(middle, F.unix_micros("timestamp") > F.col("middle")).drop("middle")
     again = records.withColumn("offset", F.col("offset") + F.lit(1 << 40))
     for delivery in (newer, again):
-        delivery.coalesce(1).write.mode("append").parquet(f"{root}/bus")
+        delivery.write.mode("append").parquet(f"{root}/bus")
         layers.drain(layers.start_bronze(spark, settings, f"{root}/bus"))
         layers.drain(layers.start_keyed_trades(spark, settings))
     return layers.read_keyed_trades(spark, settings).select("symbol", "trade_id", "event_time")
