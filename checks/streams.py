@@ -310,11 +310,12 @@ def s11_date_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = inputs.work_dir(spark, "dates")
     source = bus.Bus(format="parquet", path=bus_folder(spark, sf_dir, root))
     records = capture(bus.stream_topics(spark, source, FEED.topics))
+    folders = ["topic", "process_date"]
+    dated = sinks.by_partition(records.withColumn("process_date", F.to_date("kafka_timestamp")), folders, "offset", 4)
     layers.drain(
         [
             sinks.append_stream(
-                records.withColumn("process_date", F.to_date("kafka_timestamp")), f"{root}/raw",
-                checkpoint=f"{root}/checkpoint", name="dated", partition_by=["topic", "process_date"],
+                dated, f"{root}/raw", checkpoint=f"{root}/checkpoint", name="dated", partition_by=folders,
                 available_now=True,
             )
         ]

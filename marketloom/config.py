@@ -82,6 +82,8 @@ class Settings:
     #: Days between a trade and the latest copy of it that the keyed table looks for.
     copy_reach_days: int = 1
     gold_watermark: str = "10 minutes"
+    #: Tasks, and so files, that write one day of a typed or metric table in a batch at most.
+    files_per_day: int = 4
     max_files_per_trigger: str | None = None
     trigger_interval: str | None = None
     available_now: bool = False
@@ -127,6 +129,7 @@ class Settings:
             silver_watermark=env.get("SILVER_WATERMARK_DELAY", "10 minutes"),
             copy_reach_days=int(env.get("SILVER_COPY_REACH_DAYS", "1")),
             gold_watermark=env.get("GOLD_WATERMARK_DELAY", "10 minutes"),
+            files_per_day=int(env.get("FILES_PER_DAY", "4")),
             max_files_per_trigger=env.get(f"{prefix}_MAX_FILES_PER_TRIGGER"),
             trigger_interval=env.get(f"{prefix}_TRIGGER_PROCESSING_TIME"),
             baseline_lookback_minutes=int(env.get("GOLD_VOLUME_BASELINE_LOOKBACK_MINUTES", "30")),

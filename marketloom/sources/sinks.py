@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from marketloom.sources.tables import move_into_place, path_exists
@@ -21,6 +22,17 @@ def paced(
     return writer.trigger(processingTime=interval) if interval else writer
 
 
+def by_partition(rows: DataFrame, partition_by: Sequence[str], spread_by: str, files: int) -> DataFrame:
+    """The rows dealt so that each partition of a table is written by ``files`` tasks at most.
+
+    Otherwise every task of the last shuffle writes a file of its own into every partition, and
+    their product grows with the days a batch spans: writers and readers then wait for files.
+    Rows of one partition are told apart by the values of ``spread_by``.
+    """
+    part = F.pmod(F.xxhash64(spread_by), F.lit(files))
+    return rows.repartition(*map(F.col, partition_by), part)
+
+
 def append_stream(
     rows: DataFrame,
     path: str,

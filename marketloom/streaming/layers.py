@@ -20,7 +20,7 @@ from marketloom.operators import alerts, refine, spikes, windows
 from marketloom.operators.capture import capture
 from marketloom.sources import commits
 from marketloom.sources.bus import Bus, publish, stream_topics
-from marketloom.sources.sinks import append_batch_once, append_stream, application_id, paced
+from marketloom.sources.sinks import append_batch_once, append_stream, application_id, by_partition, paced
 from marketloom.sources.tables import ensure_table, read_table_or_empty, stream_table
 from marketloom.streaming.supervision import progress_kept, supervise
 
@@ -51,6 +51,11 @@ def _dated(rows: DataFrame, time_column: str, date: str) -> DataFrame:
     return rows.withColumn(date, F.to_date(time_column))
 
 
+def _by_day(rows: DataFrame, settings: Settings, time_column: str, date: str) -> DataFrame:
+    """Rows with the day they are stored under, each day dealt to a few tasks that write it."""
+    return by_partition(_dated(rows, time_column, date), (date,), time_column, settings.files_per_day)
+
+
 def bus_of(settings: Settings, path: str | None = None) -> Bus:
     return Bus(
         format=settings.bus_format,
@@ -120,8 +125,9 @@ def start_silver(spark: SparkSession, settings: Settings) -> list[StreamingQuery
     )
     return [
         _append(
-            _dated(
+            _by_day(
                 transform(stream_raw(spark, settings, topic), watermark_delay=settings.silver_watermark),
+                settings,
                 time_column,
                 EVENT_DATE,
             ),
@@ -200,7 +206,9 @@ def start_trade_windows(
     delay = settings.gold_watermark
     return [
         _append(
-            _dated(windows.ohlc_bars(trades, width=bar_width, watermark_delay=delay), "window_end", WINDOW_DATE),
+            _by_day(
+                windows.ohlc_bars(trades, width=bar_width, watermark_delay=delay), settings, "window_end", WINDOW_DATE
+            ),
             settings,
             settings.gold(config.GOLD_OHLC),
             "gold/ohlc_1min",
@@ -208,7 +216,9 @@ def start_trade_windows(
             partition_by=(WINDOW_DATE,),
         ),
         _append(
-            _dated(windows.window_measures(trades, width=width, watermark_delay=delay), "window_end", WINDOW_DATE),
+            _by_day(
+                windows.window_measures(trades, width=width, watermark_delay=delay), settings, "window_end", WINDOW_DATE
+            ),
             settings,
             settings.gold(config.GOLD_WINDOW_MEASURES),
             "gold/window_measures",
@@ -235,7 +245,7 @@ def start_window_tables(spark: SparkSession, settings: Settings) -> list[Streami
     )
     return [
         _append(
-            _dated(cut(measures), time_column, WINDOW_DATE),
+            _by_day(cut(measures), settings, time_column, WINDOW_DATE),
             settings,
             settings.gold(table),
             query,

@@ -210,3 +210,19 @@ def test_runner_stops_the_rest_when_one_query_ends(spark, settings, tmp_path):
     spark.streams.resetTerminated()
     layers.run_layer(spark, live, start)
     assert [query.isActive for query in started] == [False, False]
+
+
+def test_a_day_is_written_by_a_few_tasks_only(spark, settings):
+    rows = trades(
+        spark, *((f"2024-04-{day:02d}T10:{minute:02d}:00", 100 * day + minute, "1", "2")
+                 for day in range(1, 6) for minute in range(60)), FLUSH
+    )
+    rows.write.parquet(settings.silver(config.SILVER_TRADES))
+    few = dataclasses.replace(settings, files_per_day=1)
+    layers.drain(layers.start_trade_windows(spark, few))
+    layers.drain(layers.start_window_tables(spark, few))
+    for table, per_day in ((config.GOLD_OHLC, 60), (config.GOLD_WINDOW_MEASURES, 12), (config.GOLD_SUMMARY, 12)):
+        folder = Path(settings.gold(table))
+        assert spark.read.parquet(str(folder)).count() == 5 * per_day
+        days = [day for day in folder.glob("window_date=*") if day.name.startswith("window_date=2024-04")]
+        assert len(days) == 5 and all(len(list(day.glob("*.parquet"))) == 1 for day in days)
