@@ -17,6 +17,7 @@ from marketloom.config import Feed
 from marketloom.functions.values import MONEY
 from marketloom.operators.normalize import normalize
 from marketloom.operators.deadletter import route
+from marketloom.operators.rows import computed_once
 
 FEED = Feed()
 
@@ -102,15 +103,24 @@ def vendor_messages(events: DataFrame) -> DataFrame:
     # type, 4 missing quantity, 5 price not numeric, 6 blank symbol, 7 negative quantity,
     # 8 id not a number, 9 flag not a boolean, 10 no envelope, 11 null payload, 12 time out
     # of range; k = 0 is a zero quantity by nature.
-    symbol = F.when(k == 6, "  ").otherwise(F.col("event_type"))
-    millis = F.when(k == 12, 99999999999999999).otherwise(F.unix_millis("at"))
     minute = F.unix_millis("at") - F.unix_millis("at") % 60000
-    first_price = F.when(k == 5, "n/a").otherwise(_text(price))
-    quantity = F.when(k == 7, "-7").when(k != 4, _text(k))
+    parts = {
+        "symbol": F.when(k == 6, "  ").otherwise(F.col("event_type")),
+        "millis": F.when(k == 12, 99999999999999999).otherwise(F.unix_millis("at")),
+        "minute": minute,
+        "first_price": F.when(k == 5, "n/a").otherwise(_text(price)),
+        "quantity": F.when(k == 7, "-7").when(k != 4, _text(k)),
+        "flag": F.when(k == 9, '"yes"').otherwise((F.col("user_id") % 2 == 0).cast("string")),
+        "high": _text(price + k),
+        "low": _text(F.greatest(price - 1, F.lit(0).cast("decimal(18,2)"))),
+        "amount": _text((price * k).cast("decimal(18,2)")),
+    }
+    carried = ["event_id", "at", "user_id", "event_type", "price", "k", "kind"]
+    # A step for the parts and for each kind keeps the generated methods small enough for the JIT.
+    rows = computed_once(rows, F.struct(*(value.alias(f"_{name}") for name, value in parts.items())), *carried)
+    carried += [f"_{name}" for name in parts]
+    symbol, millis, minute, first_price, quantity, flag, high, low, value = (F.col(f"_{name}") for name in parts)
     kind_name = F.when(k == 3, "aggTrade")
-    flag = F.when(k == 9, '"yes"').otherwise((F.col("user_id") % 2 == 0).cast("string"))
-    high, low = _text(price + k), _text(F.greatest(price - 1, F.lit(0).cast("decimal(18,2)")))
-    value = _text((price * k).cast("decimal(18,2)"))
 
     def count(good: Column) -> Column:
         return F.when(k == 8, '"x1"').otherwise(_text(good))
@@ -141,7 +151,7 @@ def vendor_messages(events: DataFrame) -> DataFrame:
         F.struct(
             F.coalesce(kind_name, F.lit("kline")).alias("e"), millis.alias("E"), symbol.alias("s")
         ),
-        k=bar,
+        k=F.col("_bar"),
     )
     ticker = spliced(
         F.struct(
@@ -155,8 +165,11 @@ def vendor_messages(events: DataFrame) -> DataFrame:
         ),
         n=count(k),
     )
-    data = F.when(F.col("kind") == "kline", kline).when(F.col("kind") == "ticker", ticker)
-    data = data.otherwise(trade)
+    for kind, name, text in (("kline", "_bar", bar), ("kline", "_kline", kline), ("ticker", "_ticker", ticker), ("trade", "_trade", trade)):
+        made = F.when(F.col("kind") == kind, text)
+        rows = computed_once(rows, F.struct(made.alias(name)), *carried)
+        carried.append(name)
+    data = F.coalesce("_kline", "_ticker", "_trade")
     head = F.concat(F.lit('{"stream":"'), F.col("event_type"), F.lit("@"), F.col("kind"), F.lit('",'))
     message = (
         F.when(k == 1, F.concat(head, F.lit('"data":{"e":')))
@@ -165,7 +178,7 @@ def vendor_messages(events: DataFrame) -> DataFrame:
         .when(k == 11, F.concat(head, F.lit('"data":null}')))
         .otherwise(F.concat(head, F.lit('"data":'), data, F.lit("}")))
     )
-    return rows.select("event_id", "at", message.alias("value"))
+    return computed_once(rows, F.struct(message.alias("value")), "event_id", "at")
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -287,20 +287,22 @@ def normalize(
         carried += names
 
     bar = F.try_variant_get(payload, "$.k", "variant")
-    bad_field = (
-        F.when(vendor == "trade", _first_bad_path(TRADE_FIELDS, "trade"))
-        .when(
-            vendor == "kline",
-            F.coalesce(
-                F.when(bar.isNull(), "$.k object"),
-                _first_bad_path(KLINE_FIELDS, "kline"),
-                F.when(~F.schema_of_variant(bar).startswith("OBJECT"), "$.k object"),
-                _first_bad_path(KLINE_BAR_FIELDS, "bar", "$.k"),
-            ),
-        )
-        .when(vendor == "24hrTicker", _first_bad_path(TICKER_FIELDS, "ticker"))
+    # The checks of one kind a step, which keeps the generated methods small enough for the JIT.
+    bad_kline = F.coalesce(
+        F.when(bar.isNull(), "$.k object"),
+        _first_bad_path(KLINE_FIELDS, "kline"),
+        F.when(~F.schema_of_variant(bar).startswith("OBJECT"), "$.k object"),
     )
-    rows = computed_once(rows, F.struct(bad_field.alias("_bad")), *carried)
+    found = F.lit(None).cast("string")
+    for vendor_name, bad_field in (
+        ("trade", _first_bad_path(TRADE_FIELDS, "trade")),
+        ("kline", bad_kline),
+        ("kline", _first_bad_path(KLINE_BAR_FIELDS, "bar", "$.k")),
+        ("24hrTicker", _first_bad_path(TICKER_FIELDS, "ticker")),
+    ):
+        bad = F.coalesce(found, F.when(vendor == vendor_name, bad_field))
+        rows = computed_once(rows, F.struct(bad.alias("_bad")), *carried)
+        found = F.col("_bad")
     carried.append("_bad")
 
     trade = _columns("trade", TRADE_FIELDS)
