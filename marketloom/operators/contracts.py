@@ -16,7 +16,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.functions.jsonschema import Closed, Property, broken_rule, compiled, keys_of
+from marketloom.functions.jsonschema import Closed, Node, Property, broken_rule, compiled, node_at
 from marketloom.functions.values import to_money
 from marketloom.operators.rows import computed_once, with_json
 
@@ -93,17 +93,43 @@ def contract_name(event_type: Column, failed: Column | None = None) -> Column:
     return name if failed is None else F.when(failed, INVALID_CONTRACT.name).otherwise(name)
 
 
-def _checks(contract: Contract, extra_rules: bool) -> list[Column]:
+def _node_name(at: int, part: str) -> str:
+    return f"_{part}{at}"
+
+
+def _read(rules: Sequence[Property | Closed], mine: Column) -> list[Column]:
+    """JSON type and text of the properties, read once for all rules of each."""
+    found = []
+    for at, rule in enumerate(rules):
+        if isinstance(rule, Property):
+            node = node_at(F.col("_event"), rule.path)
+            found.append(F.when(mine, node.kind).alias(_node_name(at, "kind")))
+            found.append(F.when(mine, node.text).alias(_node_name(at, "text")))
+    return found
+
+
+def _checks(contract: Contract, rules: Sequence[Property | Closed]) -> list[Column]:
     """A column per rule: its text where the event ``_event`` breaks it, else null."""
-    event, keys = F.col("_event"), F.col("_keys")
-    checks = [broken_rule(rule, event, keys, contract.name) for rule in contract.rules]
-    if extra_rules:
-        for text, holds in contract.extra_rules:
-            rule = holds(lambda name: F.try_variant_get(event, f"$.{name}", "string"))
-            checks.append(F.when(~rule, f"{contract.name}: {text}"))
+    event, keys, checks = F.col("_event"), F.col("_keys"), []
+    for at, rule in enumerate(rules):
+        kind, text = F.col(_node_name(at, "kind")), F.col(_node_name(at, "text"))
+        node = Node(kind, kind, text) if isinstance(rule, Property) else None
+        checks.append(broken_rule(rule, event, keys, contract.name, node))
     return checks
 
 
+def _extra_checks(contract: Contract) -> list[Column]:
+    """The same for the contract's rules that are not enforced upstream."""
+    get = lambda name: F.try_variant_get("_event", f"$.{name}", "string")
+    return [F.when(~holds(get), f"{contract.name}: {text}") for text, holds in contract.extra_rules]
+
+
+def _with_lines(rows: DataFrame, mine: Column, checks: Sequence[Column], keep: Sequence[str]) -> DataFrame:
+    """``_lines`` with what the checks found in the rows of one contract."""
+    more = F.concat_ws("\n", F.nullif("_lines", F.lit("")), *checks)
+    return computed_once(rows, F.struct(F.when(mine, more).otherwise(F.col("_lines")).alias("_lines")), *keep)
+
+
 def feed_violations(
     events: DataFrame, contracts: Sequence[Contract] = CONTRACTS, value: str = "value", contract: str = "contract", *,
     extra_rules: bool = False,
@@ -116,7 +142,9 @@ def feed_violations(
     """
     columns = events.columns
     rows = with_json(events, value, "_event", *columns)
-    rows = computed_once(rows, F.struct(keys_of(F.col("_event")).alias("_keys")), *columns, "_event")
+    # Names alone come from the text: as a map of VARIANT every value would be converted.
+    keys = F.when(F.col("_event").isNotNull(), F.json_object_keys(F.col(f"`{value}`")))
+    rows = computed_once(rows, F.struct(keys.alias("_keys")), *columns, "_event")
     known = F.coalesce(F.col(f"`{contract}`").isin(*[one.name for one in contracts]), F.lit(False))
     lines = F.when(~known, "event: contract").when(F.col("_keys").isNull(), "event: type").otherwise("")
     carried = [*columns, "_event", "_keys"]
@@ -125,11 +153,14 @@ def feed_violations(
     # those of its own contract only.
     for one in contracts:
         mine = F.col("_keys").isNotNull() & (F.col(f"`{contract}`") == one.name)
-        checks = _checks(one, extra_rules)
-        for low in range(0, len(checks), STEP):
-            more = F.concat_ws("\n", F.nullif("_lines", F.lit("")), *checks[low : low + STEP])
-            lines = F.when(mine, more).otherwise(F.col("_lines"))
-            rows = computed_once(rows, F.struct(lines.alias("_lines")), *carried)
+        for low in range(0, len(one.rules), STEP):
+            rules = one.rules[low : low + STEP]
+            read = _read(rules, mine)
+            if read:
+                rows = computed_once(rows, F.struct(*read), *carried, "_lines")
+            rows = _with_lines(rows, mine, _checks(one, rules), carried)
+        if extra_rules and one.extra_rules:
+            rows = _with_lines(rows, mine, _extra_checks(one), carried)
     violations = F.when(F.col("_lines") == "", F.array().cast("array<string>")).otherwise(F.split("_lines", "\n"))
     return rows.select(*columns, violations.alias("violations"))
 
