@@ -71,12 +71,19 @@ def sealed_json(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]")))
 
 
+def seal_is_whole(sealed: Column, text: Column) -> Column:
+    """True when the text in ``sealed_json`` was one JSON value.
+
+    The array is read as numbers, which takes no copy of the value, and in one go: to look for an
+    element that is not there ends in an exception inside Spark for every row.
+    """
+    numbers = F.try_variant_get(sealed, "$", "array<bigint>")
+    return (F.size(numbers) == 2) & (F.get(numbers, 1) == F.xxhash64(text))
+
+
 def unsealed(sealed: Column, text: Column) -> Column:
     """The VARIANT inside ``sealed_json``, null when the text was not one JSON value."""
-    whole = (F.try_variant_get(sealed, "$[1]", "bigint") == F.xxhash64(text)) & (
-        F.try_variant_get(sealed, "$[2]", "variant").isNull()
-    )
-    return F.when(whole, F.try_variant_get(sealed, "$[0]", "variant"))
+    return F.when(seal_is_whole(sealed, text), F.try_variant_get(sealed, "$[0]", "variant"))
 
 
 def strict_json(text: Column) -> Column:
@@ -117,11 +124,20 @@ def product_text(left: Column, right: Column) -> Column:
     does. Plain factors of up to 28 digits together, which is nearly every message, are one
     product of whole numbers; signs, exponents and more digits take the long way.
     """
+    short = F.when(is_short_product(left, right), short_product(left, right))
+    return short.otherwise(long_product(left, right))
+
+
+def long_product(left: Column, right: Column) -> Column:
+    """``product_text`` of any factors by lambda functions, which Spark interprets."""
     factors = F.struct(_number_parts(left).alias("a"), _number_parts(right).alias("b"))
     numbers = left.rlike(NUMBER_PATTERN) & right.rlike(NUMBER_PATTERN)
-    long = F.when(numbers, _let(_let(_let(factors, _multiplied), _rounded), _plain))
-    short = _is_plain(left) & _is_plain(right) & (F.length(left) + F.length(right) <= PRODUCT_DIGITS)
-    return F.when(short, _short_product(left, right)).otherwise(long)
+    return F.when(numbers, _let(_let(_let(factors, _multiplied), _rounded), _plain))
+
+
+def is_short_product(left: Column, right: Column) -> Column:
+    """Plain factors of few digits."""
+    return _is_plain(left) & _is_plain(right) & (F.length(left) + F.length(right) <= PRODUCT_DIGITS)
 
 
 def _is_plain(text: Column) -> Column:
@@ -131,7 +147,9 @@ def _is_plain(text: Column) -> Column:
     return only & (digits > 0) & (digits >= F.length(text) - 1) & (F.length(text) <= 18)
 
 
-def _short_product(left: Column, right: Column) -> Column:
+def short_product(left: Column, right: Column) -> Column:
+    """``product_text`` where ``is_short_product``; all of it is generated code."""
+
     def whole(text: Column) -> Column:
         return F.replace(text, F.lit("."), F.lit("")).try_cast("decimal(18,0)")
 

@@ -19,9 +19,13 @@ from marketloom.functions.values import (
     LAST_MILLI,
     iso_from_millis,
     iso_millis,
-    product_text,
+    is_short_product,
+    long_product,
+    sealed_json,
+    seal_is_whole,
+    short_product,
 )
-from marketloom.operators.rows import computed_once, with_json
+from marketloom.operators.rows import computed_once
 
 JSON_DECODE_ERROR = "JSON_DECODE_ERROR"
 ROUTING_ERROR = "ROUTING_ERROR"
@@ -79,6 +83,13 @@ TICKER_FIELDS = (
     ("n", "trade_count", "integer"),
 )
 UNWRAPPED = ("raw_stream", "_malformed", "_payload", "_vendor_type")
+#: The records that are read from a payload: vendor's type name, path, our name, fields.
+RECORDS = (
+    ("trade", "$", "trade", TRADE_FIELDS),
+    ("kline", "$", "kline", KLINE_FIELDS),
+    ("kline", "$.k", "bar", KLINE_BAR_FIELDS),
+    ("24hrTicker", "$", "ticker", TICKER_FIELDS),
+)
 VARIANT_TYPES = {
     "decimal": "string",
     "text": "string",
@@ -92,6 +103,11 @@ def _vendor_struct(fields) -> str:
     return f"struct<{','.join(f'{key}:{VARIANT_TYPES[kind]}' for key, _, kind in fields)}>"
 
 
+def _named_struct(fields) -> str:
+    """The same with our names, which differ in more than case."""
+    return f"struct<{','.join(f'`{name}`:{VARIANT_TYPES[kind]}' for _, name, kind in fields)}>"
+
+
 def _bad_when(column: str, path: str, kind: str) -> str:
     """SQL condition under which an extracted column is missing or unreadable."""
     node = f"try_variant_get(_payload, '{path}', 'variant')"
@@ -110,10 +126,10 @@ def _bad_when(column: str, path: str, kind: str) -> str:
 def _first_bad_path(fields, prefix: str, parent: str = "$") -> Column:
     """Path and kind of the first field that is missing or unreadable, else null.
 
-    Fields are read as columns named ``<prefix>_<name>``.
+    Fields are read from the struct ``_<prefix>``.
     """
     checks = (
-        f"CASE WHEN {_bad_when(f'{prefix}_{name}', f'{parent}.{key}', kind)} "
+        f"CASE WHEN {_bad_when(f'_{prefix}.`{name}`', f'{parent}.{key}', kind)} "
         f"THEN '{parent}.{key} {kind}' END"
         for key, name, kind in fields
     )
@@ -201,10 +217,10 @@ def _unsupported(payload: Column, vendor: Column) -> Column:
 
 
 def _columns(prefix: str, fields) -> dict[str, Column]:
-    """Event columns from the extracted vendor columns, instants as ISO text."""
+    """Event columns from the struct of vendor fields, instants as ISO text."""
     columns = {}
     for _, name, kind in fields:
-        value = F.col(f"{prefix}_{name}")
+        value = F.col(f"_{prefix}")[name]
         columns[name] = iso_from_millis(value) if kind == "millis" else value
     if "symbol" in columns:
         columns["symbol"] = F.upper(F.coalesce(columns["symbol"], F.lit("")))
@@ -257,41 +273,60 @@ def normalize(
     decoded = computed_once(
         messages, F.struct(raw.alias("raw_payload"), stamp.alias("_stamp")), *keep
     )
-    parsed = with_json(decoded, "raw_payload", "_doc", *keep, "raw_payload", "_stamp")
+    # Read from inside the seal, since taking a value out of it copies the value.
+    sealed = computed_once(
+        decoded, F.struct(sealed_json(F.col("raw_payload")).alias("_sealed")), *keep, "raw_payload", "_stamp"
+    )
+    whole = seal_is_whole(F.col("_sealed"), F.col("raw_payload"))
+    document = F.coalesce(
+        F.try_variant_get("_sealed", "$[0].data", "variant"), F.try_variant_get("_sealed", "$[0]", "variant")
+    )
     unwrapped = computed_once(
-        parsed,
-        F.struct(
-            F.try_variant_get("_doc", "$.stream", "string").alias("raw_stream"),
-            F.col("_doc").isNull().alias("_malformed"),
-            unwrap(F.col("_doc")).alias("_payload"),
-            vendor_type(unwrap(F.col("_doc"))).alias("_vendor_type"),
-        ),
+        sealed,
+        F.when(whole, F.struct(F.try_variant_get("_sealed", "$[0].stream", "string"), document)),
         *keep,
         "raw_payload",
         "_stamp",
+        names=("raw_stream", "_payload"),
+    )
+    carried = [*keep, "raw_payload", "_stamp", "raw_stream", "_payload"]
+    # A document is never null, be it a JSON null.
+    rows = computed_once(
+        unwrapped,
+        F.struct(payload.isNull().alias("_malformed"), vendor_type(payload).alias("_vendor_type")),
+        *carried,
     )
+    carried = [*keep, "raw_payload", "_stamp", *UNWRAPPED]
 
-    # One struct per event type, read from the payload in a single pass over its fields.
-    rows, carried = unwrapped, [*keep, "raw_payload", "_stamp", *UNWRAPPED]
-    for vendor_name, path, prefix, fields in (
-        ("trade", "$", "trade", TRADE_FIELDS),
-        ("kline", "$", "kline", KLINE_FIELDS),
-        ("kline", "$.k", "bar", KLINE_BAR_FIELDS),
-        ("24hrTicker", "$", "ticker", TICKER_FIELDS),
-    ):
-        names = [f"{prefix}_{name}" for _, name, _ in fields]
+    # One struct per record, read from the payload in a single pass over its fields. They stay
+    # structs: a column for every field makes methods of more parameters than the JIT takes.
+    for vendor_name, path, prefix, fields in RECORDS:
         record = F.when(
             vendor == vendor_name, F.try_variant_get(payload, path, _vendor_struct(fields))
-        )
-        rows = computed_once(rows, record, *carried, names=names)
-        carried += names
+        ).cast(_named_struct(fields))
+        rows = computed_once(rows, F.struct(record.alias(f"_{prefix}")), *carried)
+        carried.append(f"_{prefix}")
+        if prefix == "trade":
+            # The long way is no generated code, so it has a step of its own while rows are narrow.
+            factors = F.struct(F.col("_trade")["price"].alias("_price"), F.col("_trade")["quantity"].alias("_quantity"))
+            rows = computed_once(rows, factors, *carried)
+            price, quantity = F.col("_price"), F.col("_quantity")
+            rows = computed_once(
+                rows, F.struct(is_short_product(price, quantity).alias("_is_short")), *carried, "_price", "_quantity"
+            )
+            short = F.when(F.col("_is_short"), short_product(price, quantity))
+            rows = computed_once(rows, F.struct(short.alias("_short")), *carried, "_price", "_quantity")
+            value_of_trade = F.coalesce("_short", long_product(price, quantity))
+            rows = computed_once(rows, F.struct(value_of_trade.alias("_trade_value")), *carried)
+            carried.append("_trade_value")
 
     bar = F.try_variant_get(payload, "$.k", "variant")
     # The checks of one kind a step, which keeps the generated methods small enough for the JIT.
+    no_bar = F.col("_bar").isNull()
     bad_kline = F.coalesce(
-        F.when(bar.isNull(), "$.k object"),
+        F.when(no_bar & bar.isNull(), "$.k object"),
         _first_bad_path(KLINE_FIELDS, "kline"),
-        F.when(~F.schema_of_variant(bar).startswith("OBJECT"), "$.k object"),
+        F.when(no_bar & ~F.schema_of_variant(bar).startswith("OBJECT"), "$.k object"),
     )
     found = F.lit(None).cast("string")
     for vendor_name, bad_field in (
@@ -306,18 +341,37 @@ def normalize(
     carried.append("_bad")
 
     trade = _columns("trade", TRADE_FIELDS)
-    value_of_trade = F.when(vendor == "trade", product_text(trade["price"], trade["quantity"]))
-    rows = computed_once(rows, F.struct(value_of_trade.alias("_trade_value")), *carried)
-    carried.append("_trade_value")
     trade["trade_value"] = F.col("_trade_value")
     kline = {**_columns("kline", KLINE_FIELDS), **_columns("bar", KLINE_BAR_FIELDS)}
     ticker = _columns("ticker", TICKER_FIELDS)
-    rule_errors = (
-        F.when(F.col("_bad").isNotNull(), "")
-        .when(vendor == "trade", _trade_errors(trade))
-        .when(vendor == "kline", rules.error_text(_open_rules(rules.KLINE_RULES), kline))
-        .when(vendor == "24hrTicker", rules.error_text(_open_rules(rules.TICKER_RULES), ticker))
-    )
+    broken = F.when(F.col("_bad").isNotNull(), "")
+    for vendor_name, errors in (
+        ("trade", _trade_errors(trade)),
+        ("kline", rules.error_text(_open_rules(rules.KLINE_RULES), kline)),
+        ("24hrTicker", rules.error_text(_open_rules(rules.TICKER_RULES), ticker)),
+    ):
+        now = F.coalesce(broken, F.when(vendor == vendor_name, errors))
+        rows = computed_once(rows, F.struct(now.alias("_rule_errors")), *carried)
+        broken = F.col("_rule_errors")
+    carried.append("_rule_errors")
+
+    # One step per event type, again to keep the generated methods small, and one column for all.
+    stamped, written = F.col("_stamp"), F.lit(None).cast("string")
+    for vendor_name, event_type, schema, columns in (
+        ("trade", "trade", schemas.TRADE_EVENT, trade),
+        ("kline", "kline", schemas.KLINE_EVENT, kline),
+        ("24hrTicker", "ticker", schemas.TICKER_EVENT, ticker),
+    ):
+        json = F.when(
+            F.col("_bad").isNull() & (vendor == vendor_name),
+            _event_json(feed, event_type, schema, stamped, columns),
+        )
+        now = F.coalesce(written, json)
+        rows = computed_once(rows, F.struct(now.alias("_json")), *carried)
+        written = F.col("_json")
+    carried.append("_json")
+
+    # Last, so that the steps before carry fewer columns.
     routing_error = (
         F.when(F.col("_malformed"), F.lit(None).cast("string"))
         .when(event_type_of(vendor).isNull(), _unsupported(payload, vendor))
@@ -332,23 +386,6 @@ def normalize(
         ),
         *carried,
     )
-    carried += ["event_type", "symbol", "_routing_error"]
-    rows = computed_once(rows, F.struct(rule_errors.alias("_rule_errors")), *carried)
-    carried.append("_rule_errors")
-
-    # One step per event type, again to keep the generated methods small.
-    stamped = F.col("_stamp")
-    for vendor_name, event_type, schema, columns in (
-        ("trade", "trade", schemas.TRADE_EVENT, trade),
-        ("kline", "kline", schemas.KLINE_EVENT, kline),
-        ("24hrTicker", "ticker", schemas.TICKER_EVENT, ticker),
-    ):
-        json = F.when(
-            F.col("_bad").isNull() & (vendor == vendor_name),
-            _event_json(feed, event_type, schema, stamped, columns),
-        )
-        rows = computed_once(rows, F.struct(json.alias(f"_{event_type}_json")), *carried)
-        carried.append(f"_{event_type}_json")
 
     failed = (
         F.when(F.col("_malformed"), JSON_DECODE_ERROR)
@@ -368,7 +405,7 @@ def normalize(
         "event_type",
         topic.alias("topic"),
         F.col("symbol").alias("key"),
-        F.coalesce("_trade_json", "_kline_json", "_ticker_json").alias("value"),
+        F.col("_json").alias("value"),
         headers(feed, F.col("event_type")).alias("headers"),
         "symbol",
         F.coalesce(topic, F.lit(UNKNOWN_TOPIC)).alias("source_topic"),
