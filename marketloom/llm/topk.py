@@ -20,6 +20,8 @@ from marketloom.llm.work import stored
 
 #: Candidates and queries in a block, dimensions accumulated at a time.
 CANDIDATES, QUERIES, DIMENSIONS = 4096, 512, 16
+#: Blocks of queries that a task holds at a time, on average.
+TOGETHER = 16
 #: Vectors that decide the order of dimensions; any order gives the same result.
 ORDER_SAMPLE = 10_000
 LONG_MAX = 2**63 - 1
@@ -69,11 +71,8 @@ def top_k(
     candidate_blocks = max(1, -(-rows.count() // CANDIDATES))
     query_blocks = max(1, -(-queries.count() // QUERIES))
     candidates = _blocked(rows, _dealt(candidate_blocks), ["vec_id", "v"])
-    # A block of queries goes to every block of candidates, as one row of bounded size.
-    asked = _blocked(queries, _dealt(query_blocks), ["query", "vec_id", "v"]).select(
-        "dims", F.col("rows").alias("asked"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(candidate_blocks - 1).cast("long"))).alias("block"),
-    )
+    asked = _blocked(queries, _dealt(query_blocks), ["query", "vec_id", "v"]).select("dims", F.col("rows").alias("asked"))
+    asked = asked.repartition(-(-query_blocks // TOGETHER))
     order = _dimension_order(rows)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +91,9 @@ def top_k(
                     ["query", "query_id", "vec_id", "score"],
                 )
 
-    pairs = asked.join(candidates, ["dims", "block"]).select("asked", "rows", "dims")
+    # Every block of candidates meets every block of queries where it lies. A copy of the queries for each
+    # block of candidates was more than a driver holds, since Spark took it for small and broadcast it.
+    pairs = candidates.join(asked.hint("shuffle_replicate_nl"), "dims").select("asked", "rows", "dims")
     best = pairs.mapInArrow(batches, "query long, query_id long, vec_id long, score long")
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)

@@ -74,3 +74,15 @@ def test_pruning_drops_candidates_and_stays_exact():
     for q in range(20):
         order = sorted((-exact[q, j], ids[j]) for j in range(2000) if ids[j] != ids[q])[:5]
         assert [(-s, v) for s, v in zip(scores[who == q], which[who == q], strict=True)] == order
+
+
+def test_queries_are_not_broadcast_in_a_copy_for_each_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 64)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "TOGETHER", 2)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 0.2, 8).tolist(), "x") for i in range(500)]
+    best = top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "BroadcastExchange" not in plan and "Generate" not in plan
+    assert sorted(tuple(r) for r in best.collect()) == brute([row[:2] for row in rows])
